@@ -33,7 +33,8 @@ class _ColumnMath:
 
     @staticmethod
     def at_most_one(a):
-        return F.least(a, F.lit(1.0))
+        # not F.least: it skips nulls, which would turn a null coordinate into pi * R
+        return F.when(a > F.lit(1.0), F.lit(1.0)).otherwise(a)
 
 
 class _NumpyMath:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # GRS80 ellipsoid and the UTM zone 30N false origin.
@@ -51,16 +51,35 @@ def _series(n: float):
 _F = 1.0 / GRS80_INV_F
 _N = _F / (2.0 - _F)
 _RECT, _ALPHA, _BETA, _DELTA = _series(_N)
-_E = math.sqrt(_F * (2.0 - _F))  # first eccentricity
 
 
 class _Col:
-    sin, cos, sinh, cosh = F.sin, F.cos, F.sinh, F.cosh
-    asin, atan, atan2, atanh, sqrt = F.asin, F.atan, F.atan2, F.atanh, F.sqrt
+    sin, cos, sinh, cosh = map(staticmethod, (F.sin, F.cos, F.sinh, F.cosh))
+    asin, atan, atan2, atanh, sqrt = map(staticmethod, (F.asin, F.atan, F.atan2, F.atanh, F.sqrt))
 
     @staticmethod
-    def lit(v):
-        return F.lit(float(v))
+    def stage(**exprs):
+        return tuple(exprs.values())
+
+
+class _StagedCol(_Col):
+    """Column math that projects each intermediate once.
+
+    Intermediates are added as temporary columns in successive projections;
+    Catalyst keeps those projections apart because each intermediate is
+    used several times, so none is re-evaluated (and the generated code
+    stays small).
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.temps: list[str] = []
+
+    def stage(self, **exprs):
+        names = {f"__tm_{k}": v for k, v in exprs.items()}
+        self.df = self.df.withColumns(names)
+        self.temps += list(names)
+        return tuple(F.col(n) for n in names)
 
 
 class _Np:
@@ -68,19 +87,19 @@ class _Np:
     asin, atan, atan2, atanh, sqrt = np.arcsin, np.arctan, np.arctan2, np.arctanh, np.sqrt
 
     @staticmethod
-    def lit(v):
-        return float(v)
+    def stage(**exprs):
+        return tuple(exprs.values())
 
 
 def _inverse(m, easting, northing, lon0_deg, k0, e0, n0):
     scale = k0 * GRS80_A * _RECT
-    xi = (northing - n0) / scale
-    eta = (easting - e0) / scale
+    xi, eta = m.stage(xi=(northing - n0) / scale, eta=(easting - e0) / scale)
     xi_p, eta_p = xi, eta
     for j, b in enumerate(_BETA, start=1):
         xi_p = xi_p - b * m.sin(2.0 * j * xi) * m.cosh(2.0 * j * eta)
         eta_p = eta_p - b * m.cos(2.0 * j * xi) * m.sinh(2.0 * j * eta)
-    chi = m.asin(m.sin(xi_p) / m.cosh(eta_p))  # conformal latitude
+    xi_p, eta_p = m.stage(xi_p=xi_p, eta_p=eta_p)
+    (chi,) = m.stage(chi=m.asin(m.sin(xi_p) / m.cosh(eta_p)))  # conformal latitude
     lat = chi
     for j, d in enumerate(_DELTA, start=1):
         lat = lat + d * m.sin(2.0 * j * chi)
@@ -89,12 +108,10 @@ def _inverse(m, easting, northing, lon0_deg, k0, e0, n0):
 
 
 def _forward(m, lon_deg, lat_deg, lon0_deg, k0, e0, n0):
-    phi = lat_deg * (math.pi / 180.0)
-    lam = (lon_deg - lon0_deg) * (math.pi / 180.0)
+    phi, lam = m.stage(phi=lat_deg * (math.pi / 180.0), lam=(lon_deg - lon0_deg) * (math.pi / 180.0))
     c = 2.0 * math.sqrt(_N) / (1.0 + _N)  # equals the eccentricity e
-    t = m.sinh(m.atanh(m.sin(phi)) - c * m.atanh(c * m.sin(phi)))
-    xi_p = m.atan(t / m.cos(lam))
-    eta_p = m.atanh(m.sin(lam) / m.sqrt(1.0 + t * t))
+    (t,) = m.stage(t=m.sinh(m.atanh(m.sin(phi)) - c * m.atanh(c * m.sin(phi))))
+    xi_p, eta_p = m.stage(xi_p=m.atan(t / m.cos(lam)), eta_p=m.atanh(m.sin(lam) / m.sqrt(1.0 + t * t)))
     xi, eta = xi_p, eta_p
     for j, a in enumerate(_ALPHA, start=1):
         xi = xi + a * m.sin(2.0 * j * xi_p) * m.cosh(2.0 * j * eta_p)
@@ -131,6 +148,36 @@ def lonlat_to_utm(
     return _forward(_Col, _c(lon), _c(lat), central_meridian_deg, k0, false_easting, false_northing)
 
 
+def with_lonlat(
+    df: DataFrame,
+    easting: str = "utm_x",
+    northing: str = "utm_y",
+    lon_col: str = "longitude",
+    lat_col: str = "latitude",
+    central_meridian_deg: float = UTM30_CENTRAL_MERIDIAN_DEG,
+) -> DataFrame:
+    """``df`` plus longitude/latitude columns from its UTM columns (staged projections)."""
+    m = _StagedCol(df)
+    lon, lat = _inverse(m, F.col(easting), F.col(northing), central_meridian_deg,
+                        UTM_K0, UTM_FALSE_EASTING, UTM_FALSE_NORTHING_NORTH)
+    return m.df.withColumns({lon_col: lon, lat_col: lat}).drop(*m.temps)
+
+
+def with_utm(
+    df: DataFrame,
+    lon: str = "longitude",
+    lat: str = "latitude",
+    x_col: str = "utm_x",
+    y_col: str = "utm_y",
+    central_meridian_deg: float = UTM30_CENTRAL_MERIDIAN_DEG,
+) -> DataFrame:
+    """``df`` plus UTM easting/northing columns from its longitude/latitude (staged projections)."""
+    m = _StagedCol(df)
+    x, y = _forward(m, F.col(lon), F.col(lat), central_meridian_deg,
+                    UTM_K0, UTM_FALSE_EASTING, UTM_FALSE_NORTHING_NORTH)
+    return m.df.withColumns({x_col: x, y_col: y}).drop(*m.temps)
+
+
 def utm_to_lonlat_np(easting, northing, central_meridian_deg: float = UTM30_CENTRAL_MERIDIAN_DEG):
     return _inverse(_Np, np.asarray(easting, float), np.asarray(northing, float), central_meridian_deg,
                     UTM_K0, UTM_FALSE_EASTING, UTM_FALSE_NORTHING_NORTH)

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import Metric
 from ..functions.udfs import distance_column
-from .guards import IMPLEMENTATIONS, TIES, check_choice, reject_clashes, require_columns, usable_rows
+from .guards import IMPLEMENTATIONS, TIES, check_choice, reject_clashes, require_columns, usable_point
 
 CENTROID_COLS = ("centroid_x", "centroid_y")
 
 
 def group_centroids(df: DataFrame, group_col: str, x_col: str, y_col: str) -> DataFrame:
-    """One row per group: arithmetic mean of x and y (A1)."""
+    """One row per group: arithmetic mean of x and y over usable points (A1)."""
+    ok = usable_point(x_col, y_col)
     return df.groupBy(group_col).agg(
-        F.avg(x_col).alias("centroid_x"), F.avg(y_col).alias("centroid_y")
+        F.avg(F.when(ok, F.col(x_col))).alias("centroid_x"), F.avg(F.when(ok, F.col(y_col))).alias("centroid_y")
     )
 
 
@@ -39,23 +40,24 @@ def distance_to_centroid(
     """Every usable row with its group's centroid and its distance to it.
 
     Output: group column first, the other input columns, ``centroid_x``,
-    ``centroid_y``, ``distance``. Rows with a null group or a null/NaN
-    coordinate are excluded.
+    ``centroid_y``, ``distance``. Rows with a null group are dropped (inner
+    join); a row with a null or NaN coordinate is kept with a null distance
+    and does not count towards the mean.
     """
     check_choice("implementation", implementation, IMPLEMENTATIONS)
     require_columns(df, group_col, x_col, y_col)
     reject_clashes(df, CENTROID_COLS + ("distance",))
-    rows = usable_rows(df, group_col, x_col, y_col)
-    joined = rows.join(group_centroids(rows, group_col, x_col, y_col), group_col)
+    joined = df.join(group_centroids(df, group_col, x_col, y_col), group_col)
     dist = distance_column(metric, implementation, x_col, y_col, "centroid_x", "centroid_y")
-    return joined.withColumn("distance", dist)
+    return joined.withColumn("distance", F.when(usable_point(x_col, y_col), dist))
 
 
 def top_by(df: DataFrame, group_col: str, order_col: str, id_col: str | None, ties: str) -> DataFrame:
-    """Rows with the least ``order_col`` per group.
+    """Rows with the least non-null ``order_col`` per group.
 
     ``ties="all"`` keeps every row sharing the minimum (rank); ``"first"``
-    keeps one, the lowest ``id_col``.
+    keeps one, the lowest ``id_col``. The null check sits in the same filter
+    as the rank, above the window, so it is never pushed below the shuffle.
     """
     check_choice("ties", ties, TIES)
     order = [F.col(order_col).asc_nulls_last()]
@@ -67,7 +69,7 @@ def top_by(df: DataFrame, group_col: str, order_col: str, id_col: str | None, ti
     else:
         w = Window.partitionBy(group_col).orderBy(*order)
         ranked = df.withColumn("_pick", F.rank().over(w))
-    return ranked.filter(F.col("_pick") == 1).drop("_pick")
+    return ranked.filter((F.col("_pick") == 1) & F.col(order_col).isNotNull()).drop("_pick")
 
 
 def nearest_to_centroid(

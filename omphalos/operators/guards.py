@@ -33,13 +33,22 @@ def is_usable(c: str) -> Column:
     return col.isNotNull() & ~F.isnan(col)
 
 
-def usable_rows(df: DataFrame, group_col: str, x_col: str, y_col: str) -> DataFrame:
-    """Rows that can take part: group present, both coordinates present and not NaN.
+def usable_point(x_col: str, y_col: str) -> Column:
+    """Both coordinates present and not NaN.
 
     A null or NaN coordinate would otherwise sort first (null) or poison the
     group mean (NaN) and be returned as the "most central" member.
+
+    Operators fold this flag into their aggregates and rank filters instead
+    of filtering rows up front: a row filter is pushed by Catalyst through
+    the projection that computed the coordinates and re-evaluates it inline.
     """
-    return df.filter(F.col(group_col).isNotNull() & is_usable(x_col) & is_usable(y_col))
+    return is_usable(x_col) & is_usable(y_col)
+
+
+def usable_rows(df: DataFrame, group_col: str, x_col: str, y_col: str) -> DataFrame:
+    """Rows that can take part: group present and a usable point."""
+    return df.filter(F.col(group_col).isNotNull() & usable_point(x_col, y_col))
 
 
 def rejected_counts(df: DataFrame, group_col: str, x_col: str, y_col: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.projection import utm_to_lonlat
+from ..functions.projection import with_lonlat
 
 # Fixed values of the derivation (also used verbatim in the SQL oracle).
 EASTING0 = 440_000.0
@@ -36,7 +36,7 @@ def spread_easting(key: str) -> Column:
 
 
 def as_centers(df: DataFrame, center_id: Column, center_name: Column, group: Column, x: Column, y: Column,
-               with_lonlat: bool = True) -> DataFrame:
+               lonlat: bool = True) -> DataFrame:
     base = df.select(
         center_id.alias("center_id"),
         center_name.alias("center_name"),
@@ -44,10 +44,9 @@ def as_centers(df: DataFrame, center_id: Column, center_name: Column, group: Col
         x.cast("double").alias("utm_x"),
         y.cast("double").alias("utm_y"),
     )
-    if not with_lonlat:
+    if not lonlat:
         return base
-    lon, lat = utm_to_lonlat("utm_x", "utm_y")
-    return base.select("*", lon.alias("longitude"), lat.alias("latitude"))
+    return with_lonlat(base, "utm_x", "utm_y")
 
 
 def customer_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +74,7 @@ def part_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts grouped by brand on the plane (size, retail price): many small groups."""
     p = table(spark, sf_dir, "part")
     return as_centers(p, F.col("p_partkey"), F.col("p_name"), F.col("p_brand"),
-                      F.col("p_size"), F.col("p_retailprice"), with_lonlat=False)
+                      F.col("p_size"), F.col("p_retailprice"), lonlat=False)
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,11 +84,11 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem")
     return as_centers(li, F.col("l_orderkey") * F.lit(10) + F.col("l_linenumber"), F.col("l_linestatus"),
-                      F.col("l_returnflag"), F.col("l_quantity"), F.col("l_extendedprice"), with_lonlat=False)
+                      F.col("l_returnflag"), F.col("l_quantity"), F.col("l_extendedprice"), lonlat=False)
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings grouped by label on the plane of their first two components."""
     e = table(spark, sf_dir, "embeddings")
     return as_centers(e, F.col("vec_id"), F.col("vec_id").cast("string"), F.col("label").cast("string"),
-                      F.element_at("embedding", 1), F.element_at("embedding", 2), with_lonlat=False)
+                      F.element_at("embedding", 1), F.element_at("embedding", 2), lonlat=False)
