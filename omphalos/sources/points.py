@@ -92,3 +92,29 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return as_centers(e, F.col("vec_id"), F.col("vec_id").cast("string"), F.col("label").cast("string"),
                       F.element_at("embedding", 1), F.element_at("embedding", 2), lonlat=False)
+
+
+def customer_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw open-data style records (all strings) derived from ``customer``.
+
+    Exercises the cleaning job on the driver's data: status BAJA for a
+    negative balance, padded names (space, tab, no-break space, newline), a
+    blank name for nation 3, an empty UTM_X for nation 5 and a non-numeric
+    one for nation 7.
+    """
+    c = table(spark, sf_dir, "customer")
+    x = spread_easting("c_custkey")
+    y = F.lit(NORTHING0) + F.col("c_acctbal")
+    nation = F.col("c_nationkey")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("CODIGO"),
+        F.when(F.col("c_acctbal") < 0, F.lit("BAJA")).otherwise(F.lit("ALTA")).alias("SITUACIÓN"),
+        F.when(nation == 3, F.lit("\t\u00a0 ")).otherwise(F.concat(F.lit(" \t"), F.col("c_name"), F.lit("\u00a0\n")))
+        .alias("CENTRO"),
+        F.concat(F.lower("c_mktsegment"), F.lit("\u2003")).alias("TIPO_EXT"),
+        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("TITULARIDAD"),
+        F.concat(F.lit("N"), nation.cast("string"), F.lit(" ")).alias("MUNICIPIO"),
+        F.lit(None).cast("string").alias("DAT"),
+        F.when(nation == 5, F.lit("")).when(nation == 7, F.lit("n/a")).otherwise(x.cast("string")).alias("UTM_X"),
+        y.cast("string").alias("UTM_Y"),
+    )
