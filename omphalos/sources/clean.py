@@ -39,7 +39,8 @@ def strip_text(c) -> Column:
 
 
 def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
-    """Raw rows plus ``reject_reason`` (null for a usable row) and parsed coordinates.
+    """Raw rows plus ``reject_reason`` (null for a usable row) and the parsed
+    coordinates ``_utm_x`` / ``_utm_y``.
 
     ``on_bad="fail"`` raises on a coordinate that is present but not a number
     (the reference stops there); ``"reject"`` routes it to ``bad coordinate``.
@@ -56,7 +57,9 @@ def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
         .when(strip_text("CENTRO") == "", F.lit("blank name"))
         .when(bad, F.lit("bad coordinate"))
     )
-    out = raw.withColumns({"reject_reason": reason, "utm_x": px, "utm_y": py})
+    # parsed values get their own names: column names resolve case-insensitively,
+    # so "utm_x" would replace the raw "UTM_X"
+    out = raw.withColumns({"reject_reason": reason, "_utm_x": px, "_utm_y": py})
     if on_bad == "fail":
         out = out.withColumn(
             "reject_reason",
@@ -74,7 +77,7 @@ def clean_records(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     rows = rows.select(
         F.coalesce(F.col("CODIGO"), F.lit("")).alias("center_id"),  # the id is not trimmed
         *[strip_text(k).alias(v) for k, v in RENAMES.items()],
-        "utm_x", "utm_y",
+        F.col("_utm_x").alias("utm_x"), F.col("_utm_y").alias("utm_y"),
     )
     return with_lonlat(rows, "utm_x", "utm_y")
 
