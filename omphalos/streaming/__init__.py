@@ -1,0 +1,2 @@
+"""Intentionally empty: the reference has no streaming, windows over time,
+state or late data, so there is no behaviour to match here."""
