@@ -103,8 +103,15 @@ def _sized_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def _spread_to(df: DataFrame, pairs_bound: float, pairs_per_task: int) -> DataFrame:
+    """Repartition ``df`` for a pair count known only as an upper bound (no job)."""
+    spark = df.sparkSession
+    want = max(2 * spark.sparkContext.defaultParallelism, math.ceil(pairs_bound / pairs_per_task))
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def _lower_bounds(points: DataFrame, cells: DataFrame, n_cells: int, g: str, keys: list[str],
-                  e: list[Column], broadcast_rows: int, pairs_per_task: int) -> DataFrame:
+                  e: list[Column], broadcast_rows: int, pairs_per_task: int, pairs_bound: float) -> DataFrame:
     """L(p) = sum over the group's cells of W_c * |e(p) - m_c| for every row of ``points``.
 
     A join on the group with the per-cell summary (bounded by the grid, so
@@ -113,7 +120,7 @@ def _lower_bounds(points: DataFrame, cells: DataFrame, n_cells: int, g: str, key
     """
     c = cells.select(g, F.col("w").alias("_cw"), *[F.col(f"m{i}").alias(f"_c{i}") for i in (1, 2, 3)])
     term = F.col("_cw") * _norm(e, [F.col(f"_c{i}") for i in (1, 2, 3)])
-    points = _spread_for_pairs(points, g, cells, pairs_per_task)
+    points = _spread_to(points, pairs_bound, pairs_per_task)
     return (points.join(_sized_broadcast(c, n_cells, broadcast_rows), g)
             .groupBy(*keys).agg(F.sum(term).alias("lb")))
 
@@ -178,6 +185,7 @@ def medoid_totals(
          + F.floor(F.col("_fy") / F.col("s"))).cast("int").alias("cell"),
     )
     located = materialize(located, "located")
+    n_loc = located.count()
     cells = located.groupBy(g, "cell").agg(
         F.sum("w").alias("w"),
         *[(F.sum(F.col("w") * c) / F.sum("w")).alias(f"m{i}") for i, c in enumerate(ex, 1)],
@@ -188,28 +196,33 @@ def medoid_totals(
     reach = [F.greatest(F.col(f"hi{i}") - F.col(f"m{i}"), F.col(f"m{i}") - F.col(f"lo{i}")) for i in (1, 2, 3)]
     cells = cells.select(g, "cell", "w", *mc, F.sqrt(sum((r * r for r in reach), F.lit(0.0))).alias("radius"))
     cells = materialize(cells, "cells")
-    n_cells = cells.count()
+    # one single-row job: cell count, cell pairs within groups, widest group
+    sizes = cells.groupBy(g).agg(F.count(F.lit(1)).alias("c")).agg(
+        F.sum("c").alias("cells"), F.sum(F.col("c") * F.col("c")).alias("pairs"), F.max("c").alias("widest"),
+    ).first()
+    n_cells = int(sizes["cells"] or 0)
+    cell_pairs, widest = float(sizes["pairs"] or 0), int(sizes["widest"] or 0)
 
     # 4. bound at every cell mean: L(m_c) and the group weight n
     totals_w = cells.groupBy(g).agg(F.sum("w").alias("n"))
     l_mean = _lower_bounds(cells.select(g, "cell", *mc), cells, n_cells, g, [g, "cell"], mc, broadcast_rows,
-                           pairs_per_task)
+                           pairs_per_task, cell_pairs)
     bounds = (cells.join(l_mean, [g, "cell"]).join(totals_w, g)
               .select(g, "cell", *mc, "radius", "n", F.col("lb").alias("l_mean")))
     bounds = materialize(bounds, "cell_bounds")
 
     # 5. seeds: the location nearest the mean of each of the best few cells;
-    #    U = the least exact total among them
+    #    U = the least exact total among them. Seeds and live cells are
+    #    subsets of the counted cells, so their broadcasts need no new count.
+    small = n_cells <= broadcast_rows
     seed_cells = top_k(bounds, g, "l_mean", seeds).select(g, "cell", *[c.alias(f"s{i}") for i, c in enumerate(mc, 1)])
-    near = located.join(F.broadcast(seed_cells) if n_cells <= broadcast_rows else seed_cells, [g, "cell"])
+    near = located.join(F.broadcast(seed_cells) if small else seed_cells, [g, "cell"])
     near = near.withColumn("d", _norm(ex, [F.col(f"s{i}") for i in (1, 2, 3)]))
     w_seed = Window.partitionBy(g, "cell").orderBy("d", "x", "y")
     seed_loc = (near.withColumn("_r", F.row_number().over(w_seed)).filter("_r = 1")
                 .select(g, F.col("x").alias("sx"), F.col("y").alias("sy")))
-    seed_loc = materialize(seed_loc, "seeds")
-    n_seeds = seed_loc.count()
     upper = (
-        located.join(_sized_broadcast(seed_loc, n_seeds, broadcast_rows), g)
+        located.join(F.broadcast(seed_loc) if small else seed_loc, g)
         .groupBy(g, "sx", "sy")
         .agg(F.sum(F.col("w") * m.column("x", "y", "sx", "sy")).alias("s"))
         .groupBy(g).agg(F.min("s").alias("u"))
@@ -221,10 +234,9 @@ def medoid_totals(
     live = (bounds.join(upper, g)
             .filter(F.col("l_mean") - F.col("n") * F.col("radius") <= limit)
             .select(g, "cell"))
-    live = materialize(live, "live_cells")
-    n_live = live.count()
-    near_pts = located.join(_sized_broadcast(live, n_live, broadcast_rows), [g, "cell"]).select("lid", g, *ex)
-    lb = _lower_bounds(near_pts, cells, n_cells, g, ["lid", g], ex, broadcast_rows, pairs_per_task)
+    near_pts = located.join(F.broadcast(live) if small else live, [g, "cell"]).select("lid", g, *ex)
+    lb = _lower_bounds(near_pts, cells, n_cells, g, ["lid", g], ex, broadcast_rows, pairs_per_task,
+                       float(n_loc) * widest)
     cand = (lb.join(upper, g).filter(F.col("lb") <= limit).select("lid")
             .join(located, "lid").select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")))
     cand = materialize(cand, "candidates")
@@ -232,7 +244,7 @@ def medoid_totals(
     # 7. exact totals for candidates
     n_cand = cand.count()
     if stats is not None:
-        stats.update(cells=n_cells, live_cells=n_live, candidates=n_cand, broadcast_rows=broadcast_rows)
+        stats.update(cells=n_cells, candidates=n_cand, broadcast_rows=broadcast_rows)
     dist = m.column("x", "y", "cx", "cy")
     pts = located.select(g, "x", "y", "w")
     if n_cand <= broadcast_rows:
