@@ -69,7 +69,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = scratch_dir(spark).rstrip("/")
     path = f"{base}/omphalos-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
 
 
 
