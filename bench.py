@@ -38,7 +38,7 @@ from omphalos.sources import points as pts  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def _sf_label(path: str) -> str:

@@ -44,6 +44,7 @@ from .guards import TIES, assert_unique, check_choice, reject_clashes, require_c
 SLACK_REL = 1e-9
 SLACK_ABS = 1e-6
 QUANTILE_STEPS = 64  # finest grid per axis; coarser grids take every k-th cut
+GRID_SCALE = 2.0  # cells per axis ~ GRID_SCALE * n^(1/4)
 
 
 def _embed(metric: Metric, x: Column, y: Column) -> list[Column]:
@@ -61,7 +62,7 @@ def _norm(a: list[Column], b: list[Column]) -> Column:
 def _grid_size(n_loc: Column, max_grid: int) -> Column:
     """Cells per axis: about n^(1/4) (balances bound work against candidates),
     a power of two between 1 and max_grid."""
-    k = F.greatest(F.lit(1.0), F.least(F.lit(float(max_grid)), F.pow(n_loc.cast("double"), 0.25)))
+    k = F.greatest(F.lit(1.0), F.least(F.lit(float(max_grid)), F.lit(GRID_SCALE) * F.pow(n_loc.cast("double"), 0.25)))
     return F.pow(F.lit(2.0), F.round(F.log2(k))).cast("int")
 
 
@@ -81,23 +82,6 @@ def _count_at_or_below(df: DataFrame, cuts: str, value: str, out: str) -> DataFr
     return df
 
 
-def _spread_for_pairs(df: DataFrame, g: str, partners: DataFrame, pairs_per_task: int) -> DataFrame:
-    """Repartition ``df`` so each task meets about ``pairs_per_task`` pairs.
-
-    Pair work is set by (rows of a group) x (partners of that group), not by
-    input bytes: a small table of locations can still carry billions of
-    pairs. The pair count comes from one single-row aggregate over per-group
-    counts; the round-robin shuffle is skipped when ``df`` already has
-    enough partitions.
-    """
-    spark = df.sparkSession
-    left = df.groupBy(g).agg(F.count(F.lit(1)).alias("_nl"))
-    right = partners.groupBy(g).agg(F.count(F.lit(1)).alias("_nr"))
-    pairs = left.join(right, g).agg(F.sum(F.col("_nl") * F.col("_nr")).alias("p")).first()["p"] or 0
-    want = max(2 * spark.sparkContext.defaultParallelism, math.ceil(pairs / pairs_per_task))
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def _sized_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast ``df`` only when its counted size is under ``limit`` rows."""
     return F.broadcast(df) if rows <= limit else df
@@ -185,22 +169,25 @@ def medoid_totals(
          + F.floor(F.col("_fy") / F.col("s"))).cast("int").alias("cell"),
     )
     located = materialize(located, "located")
-    n_loc = located.count()
     cells = located.groupBy(g, "cell").agg(
         F.sum("w").alias("w"),
+        F.count(F.lit(1)).alias("nl"),
         *[(F.sum(F.col("w") * c) / F.sum("w")).alias(f"m{i}") for i, c in enumerate(ex, 1)],
         *[F.min(c).alias(f"lo{i}") for i, c in enumerate(ex, 1)],
         *[F.max(c).alias(f"hi{i}") for i, c in enumerate(ex, 1)],
     )
     mc = [F.col(f"m{i}") for i in (1, 2, 3)]
     reach = [F.greatest(F.col(f"hi{i}") - F.col(f"m{i}"), F.col(f"m{i}") - F.col(f"lo{i}")) for i in (1, 2, 3)]
-    cells = cells.select(g, "cell", "w", *mc, F.sqrt(sum((r * r for r in reach), F.lit(0.0))).alias("radius"))
+    cells = cells.select(g, "cell", "w", "nl", *mc,
+                         F.sqrt(sum((r * r for r in reach), F.lit(0.0))).alias("radius"))
     cells = materialize(cells, "cells")
-    # one single-row job: cell count, cell pairs within groups, widest group
-    sizes = cells.groupBy(g).agg(F.count(F.lit(1)).alias("c")).agg(
-        F.sum("c").alias("cells"), F.sum(F.col("c") * F.col("c")).alias("pairs"), F.max("c").alias("widest"),
+    # one single-row job: cells, locations, cell pairs within groups, widest group
+    per_group = cells.groupBy(g).agg(F.count(F.lit(1)).alias("c"), F.sum("nl").alias("nl"))
+    sizes = per_group.agg(
+        F.sum("c").alias("cells"), F.sum("nl").alias("locations"),
+        F.sum(F.col("c") * F.col("c")).alias("pairs"), F.max("c").alias("widest"),
     ).first()
-    n_cells = int(sizes["cells"] or 0)
+    n_cells, n_loc = int(sizes["cells"] or 0), int(sizes["locations"] or 0)
     cell_pairs, widest = float(sizes["pairs"] or 0), int(sizes["widest"] or 0)
 
     # 4. bound at every cell mean: L(m_c) and the group weight n
@@ -241,14 +228,17 @@ def medoid_totals(
             .join(located, "lid").select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")))
     cand = materialize(cand, "candidates")
 
-    # 7. exact totals for candidates
-    n_cand = cand.count()
+    # 7. exact totals for candidates; one single-row job gives their count and
+    #    the exact number of (candidate, location) pairs
+    cand_sizes = (cand.groupBy(g).agg(F.count(F.lit(1)).alias("k")).join(per_group, g)
+                  .agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("nl")).alias("pairs")).first())
+    n_cand, cand_pairs = int(cand_sizes["k"] or 0), float(cand_sizes["pairs"] or 0)
     if stats is not None:
         stats.update(cells=n_cells, candidates=n_cand, broadcast_rows=broadcast_rows)
     dist = m.column("x", "y", "cx", "cy")
     pts = located.select(g, "x", "y", "w")
     if n_cand <= broadcast_rows:
-        pts = _spread_for_pairs(pts, g, cand, pairs_per_task)
+        pts = _spread_to(pts, cand_pairs, pairs_per_task)
         # bounded by the count above: each task keeps its partition of
         # locations and meets the candidates of their groups; the per-pair
         # aggregate is keyed on the numeric candidate id only
