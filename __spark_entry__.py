@@ -10,6 +10,7 @@ at sf0.01; the Spark side never builds all pairs.
 
 from __future__ import annotations
 
+import importlib
 import math
 from collections.abc import Callable
 
@@ -25,6 +26,20 @@ from omphalos.plans import layers, reports
 from omphalos.sources import clean, io
 from omphalos.sources import points as pts
 
+
+def _optional(module: str):
+    """The module, or None where its folder isn't there; faults inside it are not hidden."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as missing:
+        if missing.name is None or not (module + ".").startswith(missing.name + "."):
+            raise
+        return None
+
+
+#: The corpus operators come as a folder and a file that may be absent.
+CORPUS, PIPELINE = _optional("omphalos.llm.entries"), _optional("corpus_pipeline")
+
 SF_SMOKE = "/root/testdata/sf0.001"
 M, DEG, RATIO = 3, 9, 6
 
@@ -148,7 +163,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "centroid_haversine": _centroid(pts.customer_centers, "haversine"),
         "centroid_utm": _centroid(pts.customer_centers, "utm"),
         "centroid_euclidean": _centroid(pts.customer_centers, "euclidean"),
@@ -181,6 +196,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "membership_check": q_membership,
         "replicated_centroid": q_replicated_centroid,
     }
+    if CORPUS:
+        found |= CORPUS.QUERIES
+    if CORPUS and PIPELINE:
+        found["pipeline"] = PIPELINE.run
+    return found
 
 
 # ===================================================================== DuckDB
@@ -474,4 +494,8 @@ SELECT count(*) AS picks,
         "replicated_centroid": _centroid_sql("customer", "utm", replicate=3),
     }
     sql.update(_report_sql())
+    if CORPUS:
+        sql |= CORPUS.ORACLE_SQL
+    if CORPUS and PIPELINE and PIPELINE.ORACLE_SQL:
+        sql["pipeline"] = PIPELINE.ORACLE_SQL
     return sql
