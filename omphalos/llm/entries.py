@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
-from omphalos.llm import quality
+import public_tokenizers
+
+from omphalos.llm import bpe, decontam, quality, secret_scan, token_counts
 from omphalos.llm.common import table
 
+#: The tokenizer of the production queries.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_quality_rules(spark, sf_dir):
     return quality.op1_quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules,)}
+def op2_token_counts(spark, sf_dir):
+    return token_counts.op2_token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op3_secret_scans(spark, sf_dir):
+    return secret_scan.op3_secret_scans(table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontam.op5_benchmark_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_bpe_encode(spark, sf_dir):
+    return bpe.op10_bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op5_benchmark_decontamination, op10_bpe_encode)
+}
 
 
 def _op1_sql() -> str:
@@ -19,8 +43,8 @@ def _op1_sql() -> str:
         f"CASE WHEN n_words >= {r.from_words} AND NOT ({r.feature} BETWEEN {r.low} AND {r.high}) THEN '{r.name}' END" for r in quality.RULES
     )
     return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT rid, list_filter(regexp_split_to_array(t, '[ \\t-\\r]+'), x -> x <> '') AS ws,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ \\t-\\r]')) AS ls,
+w AS (SELECT rid, list_filter(regexp_split_to_array(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM d),
 g AS (SELECT rid, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS gram
       FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
@@ -28,19 +52,38 @@ r AS (SELECT rid, i, i - lag(i) OVER (PARTITION BY rid ORDER BY i) AS gap
       FROM (SELECT *, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
 c AS (SELECT rid, sum(least(5, coalesce(gap, 5))) AS n_repeat_words FROM r GROUP BY rid),
 f AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-             CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
              CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
-             len(list_filter(ws, x -> lower(x) IN ({stop}))) AS n_stop
+             len(list_filter(ws, lambda x: lower(x) IN ({stop}))) AS n_stop
       FROM d JOIN w USING (rid) LEFT JOIN c USING (rid)),
 q AS (SELECT *, coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_length,
              coalesce(n_symbols / nullif(n_words, 0), 0) AS symbol_ratio,
              coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio,
              coalesce(n_stop / nullif(n_words, 0), 0) AS stop_word_ratio,
              n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
-b AS (SELECT *, list_filter([{rules}], x -> x IS NOT NULL) AS broken FROM q)
+b AS (SELECT *, list_filter([{rules}], lambda x: x IS NOT NULL) AS broken FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND len(broken) = 0 AS kept, array_to_string(broken, ',') AS broken FROM b"""
 
 
-ORACLE_SQL = {"op1_quality_rules": _op1_sql()}
+_OP5_SQL = """WITH tok AS (SELECT 0 AS kind, row_number() OVER () AS rid, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), item_id, text FROM benchmark),
+w AS (SELECT kind, rid, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x{00}-\\x{2F}\\x{3A}-\\x{60}\\x{7B}-\\x{7F}]+') AS ws FROM tok),
+m AS (SELECT DISTINCT least(10, len(ws)) AS m FROM w WHERE kind = 1 AND len(ws) > 0),
+win AS (SELECT id, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS g
+        FROM (SELECT id, ws, least(10, len(ws)) AS m, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+              FROM w WHERE kind = 1 AND len(ws) > 0)),
+dw AS (SELECT rid, i, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS g
+       FROM (SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, m WHERE kind = 0 AND len(ws) >= m)),
+hit AS (SELECT DISTINCT rid, i, dw.m, win.id FROM dw JOIN win ON dw.m = win.m AND dw.g = win.g),
+pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM hit) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names
+        FROM (SELECT DISTINCT rid, CAST(id AS VARCHAR) AS s FROM hit) GROUP BY rid)
+SELECT id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid) WHERE kind = 0"""
+
+ORACLE_SQL = {"op1_quality_rules": _op1_sql(), "op5_benchmark_decontamination": _OP5_SQL}
