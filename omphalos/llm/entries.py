@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from omphalos.llm import bpe, decontam, quality, secret_scan, token_counts
+from omphalos.llm import bpe, decontam, near_dup, quality, secret_scan, token_counts, url_filter
 from omphalos.llm.common import table
 
 #: The tokenizer of the production queries.
@@ -27,13 +27,21 @@ def op5_benchmark_decontamination(spark, sf_dir):
     return decontam.op5_benchmark_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_minhash_near_dedup(spark, sf_dir):
+    return near_dup.op7_minhash_near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op8_url_filters(spark, sf_dir):
+    return url_filter.op8_url_filters(table(spark, sf_dir, "pages"))
+
+
 def op10_bpe_encode(spark, sf_dir):
     return bpe.op10_bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op5_benchmark_decontamination, op10_bpe_encode)
+    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op5_benchmark_decontamination, op7_minhash_near_dedup, op8_url_filters, op10_bpe_encode)
 }
 
 
