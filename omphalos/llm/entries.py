@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from omphalos.llm import bpe, decontam, near_dup, quality, secret_scan, token_counts, url_filter
+from omphalos.llm import bpe, decontam, language, near_dup, pii, quality, secret_scan, token_counts, url_filter
 from omphalos.llm.common import table
 
 #: The tokenizer of the production queries.
@@ -23,10 +23,18 @@ def op3_secret_scans(spark, sf_dir):
     return secret_scan.op3_secret_scans(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark, sf_dir):
+    return language.op4_language_id(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontam.op5_benchmark_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.op6_pii(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark, sf_dir):
     return near_dup.op7_minhash_near_dedup(table(spark, sf_dir, "documents"))
 
@@ -41,7 +49,7 @@ def op10_bpe_encode(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op5_benchmark_decontamination, op7_minhash_near_dedup, op8_url_filters, op10_bpe_encode)
+    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op10_bpe_encode)
 }
 
 
