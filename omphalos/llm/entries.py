@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from omphalos.llm import bpe, decontam, language, near_dup, pii, quality, secret_scan, token_counts, url_filter
+from omphalos.llm import bpe, decontam, language, near_dup, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from omphalos.llm.common import table
 
 #: The tokenizer of the production queries.
@@ -43,13 +43,17 @@ def op8_url_filters(spark, sf_dir):
     return url_filter.op8_url_filters(table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.op9_suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_encode(spark, sf_dir):
     return bpe.op10_bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op10_bpe_encode)
+    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op9_suffix_dedup, op10_bpe_encode)
 }
 
 
