@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.metrics import COORDINATE_COLUMNS, Metric, get_metric
 from .centroid import nearest_to_centroid
-from .guards import METHODS, check_choice, usable_point
+from .guards import METHODS, check_choice
 from .medoid import medoid
 
 
@@ -39,10 +38,3 @@ def most_central(
     if method == "centroid":
         return nearest_to_centroid(df, group_col, x_col, y_col, m, implementation, ties, id_col)
     return medoid(df, group_col, id_col, x_col, y_col, m, ties=ties, **tuning)
-
-
-def first_pick_agg(metric: Metric, x: str, y: str, cx: Column, cy: Column, id_col: str, *carry: str) -> Column:
-    """Aggregate: the member nearest (cx, cy), lowest id on ties, as a struct
-    (d, id, carried columns). Null/NaN points are skipped."""
-    d = F.when(usable_point(x, y), metric.column(x, y, cx, cy))
-    return F.min(F.when(d.isNotNull(), F.struct(d.alias("d"), F.col(id_col).alias("id"), *[F.col(c) for c in carry])))

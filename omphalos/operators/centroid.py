@@ -1,12 +1,12 @@
 """Nearest-to-centroid: the real member closest to its group's mean position.
 
-Plan shape (native): partial+final HashAggregate for the group means, an
-equi-join of the rows with that per-group table (AQE turns it into a
-broadcast join once the aggregate's real size is known, and splits a hot
-group's partition when it stays a shuffle join), the distance as a plain
-column expression inside whole-stage codegen, and ``rank() = 1`` which
-Catalyst turns into a partial ``WindowGroupLimit`` before the shuffle, so
-only each partition's local best rows move.
+Plan shape (native): partial and final hash aggregates for the group means,
+which are fetched once and broadcast behind their counted size; the distance as
+a plain column expression in the stage that scans the rows; a hash aggregate of
+the least distance, broadcast the same way; and a filter that leaves the rows at
+it. No exchange carries the rows, so no task holds a group. With more groups
+than can be broadcast the joins are dealt by (group, salt). The calls start
+these small aggregates when they are made (they are eager), the rest is lazy.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import Metric
 from ..functions.udfs import distance_column
+from .attach import Small, keep_first, keep_least
 from .guards import IMPLEMENTATIONS, TIES, check_choice, reject_clashes, require_columns, usable_point
 
 CENTROID_COLS = ("centroid_x", "centroid_y")
@@ -47,7 +48,7 @@ def distance_to_centroid(
     check_choice("implementation", implementation, IMPLEMENTATIONS)
     require_columns(df, group_col, x_col, y_col)
     reject_clashes(df, CENTROID_COLS + ("distance",))
-    joined = df.join(group_centroids(df, group_col, x_col, y_col), group_col)
+    joined = Small(group_centroids(df, group_col, x_col, y_col)).join(df, group_col)
     dist = distance_column(metric, implementation, x_col, y_col, "centroid_x", "centroid_y")
     return joined.withColumn("distance", F.when(usable_point(x_col, y_col), dist))
 
@@ -86,6 +87,10 @@ def nearest_to_centroid(
 
     Output: group column first, the other input columns, ``distance``.
     """
-    reject_clashes(df, ("rank", "_pick"))
+    check_choice("ties", ties, TIES)
+    if ties == "first" and id_col is None:
+        raise ValueError('ties="first" needs id_col')
+    reject_clashes(df, ("rank", "_pick", "_least", "_first"))
     with_distance = distance_to_centroid(df, group_col, x_col, y_col, metric, implementation)
-    return top_by(with_distance, group_col, "distance", id_col, ties).drop(*CENTROID_COLS)
+    nearest = keep_least(with_distance, group_col, "distance").drop(*CENTROID_COLS)
+    return nearest if ties == "all" else keep_first(nearest, group_col, id_col)

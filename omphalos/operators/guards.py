@@ -30,14 +30,14 @@ def reject_clashes(df: DataFrame, reserved) -> None:
 
 def is_usable(c: str) -> Column:
     col = F.col(c)
-    return col.isNotNull() & ~F.isnan(col)
+    return col.isNotNull() & ~F.isnan(col) & (F.abs(col) != float("inf"))
 
 
 def usable_point(x_col: str, y_col: str) -> Column:
-    """Both coordinates present and not NaN.
+    """Both coordinates present and finite.
 
-    A null or NaN coordinate would otherwise sort first (null) or poison the
-    group mean (NaN) and be returned as the "most central" member.
+    Otherwise a null coordinate would sort first, and a NaN or infinite one
+    poison the group's mean.
 
     Operators fold this flag into their aggregates and rank filters instead
     of filtering rows up front: a row filter is pushed by Catalyst through
@@ -46,26 +46,6 @@ def usable_point(x_col: str, y_col: str) -> Column:
     return is_usable(x_col) & is_usable(y_col)
 
 
-def usable_rows(df: DataFrame, group_col: str, x_col: str, y_col: str) -> DataFrame:
-    """Rows that can take part: group present and a usable point."""
-    return df.filter(F.col(group_col).isNotNull() & usable_point(x_col, y_col))
-
-
-def rejected_counts(df: DataFrame, group_col: str, x_col: str, y_col: str) -> DataFrame:
-    """Why rows are excluded, one row per reason (empty when all rows are usable)."""
-    reason = (
-        F.when(F.col(group_col).isNull(), F.lit("null group"))
-        .when(F.col(x_col).isNull() | F.col(y_col).isNull(), F.lit("null coordinate"))
-        .when(F.isnan(x_col) | F.isnan(y_col), F.lit("NaN coordinate"))
-    )
-    return (
-        df.select(reason.alias("reason"))
-        .filter(F.col("reason").isNotNull())
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-
-
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
     """Raise when a key repeats. One aggregation job; only a single offending key
     reaches the driver."""

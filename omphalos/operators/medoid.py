@@ -37,16 +37,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import EARTH_RADIUS_M, Metric, get_metric
-from ..session import materialize
+from ..session import discard, materialize
+from .attach import Small
 from .centroid import top_by
 from .guards import TIES, assert_unique, check_choice, reject_clashes, require_columns, usable_point
 
 SLACK_REL = 1e-9
 SLACK_ABS = 1e-6
 QUANTILE_STEPS = 64  # finest grid per axis; coarser grids take every k-th cut
+MOST_TASKS = 20_000  # of one stage; beyond it tasks hold more pairs each
 GRID_SCALE = 2.0  # cells per axis ~ GRID_SCALE * n^(1/4)
 
 
+#: Digits that totals are rounded to before ranking, by metric.
+TIE_DECIMALS = {"utm": 3, "haversine": 3, "euclidean": 9}
+
+
 def _embed(metric: Metric, x: Column, y: Column) -> list[Column]:
     if metric.spherical:
         lam, phi = F.radians(x), F.radians(y)
@@ -88,10 +94,11 @@ def _sized_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
 
 
 def _spread_to(df: DataFrame, pairs_bound: float, pairs_per_task: int) -> DataFrame:
-    """Repartition ``df`` for a pair count known only as an upper bound (no job)."""
-    spark = df.sparkSession
-    want = max(2 * spark.sparkContext.defaultParallelism, math.ceil(pairs_bound / pairs_per_task))
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    """Repartition ``df`` where its pairs, at most ``pairs_bound``, are more than a task's share."""
+    if pairs_bound <= pairs_per_task / 8:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(max(2 * cores, math.ceil(pairs_bound / pairs_per_task)), MOST_TASKS))
 
 
 def _lower_bounds(points: DataFrame, cells: DataFrame, n_cells: int, g: str, keys: list[str],
@@ -120,9 +127,13 @@ def medoid_totals(
     broadcast_rows: int = 200_000,
     pairs_per_task: int = 4_000_000,
     stats: dict | None = None,
+    tie_decimals: int | None = None,
 ) -> DataFrame:
     """Exact total distance S for every location that can be a medoid.
 
+    With ``tie_decimals`` that includes every location whose total rounds to
+    the least one's.
+
     Returns (group, x, y, total_distance) for the candidate locations of
     each group; the minimum per group is the exact medoid total. Rows with a
     null group or a null/NaN coordinate take no part.
@@ -217,7 +228,11 @@ def medoid_totals(
     upper = materialize(upper, "upper")
 
     # 6. prune cells (L(m_c) - n r_c > U), then locations (L(p) > U)
-    limit = F.col("u") * F.lit(1.0 + SLACK_REL) + F.lit(SLACK_ABS)
+    #    The slack covers float sums over n locations and, where totals are
+    #    rounded before ranking, the width of a rounding step
+    rel = max(SLACK_REL, 4.0 * n_loc * 2.0**-52)
+    step = 0.0 if tie_decimals is None else 10.0**-tie_decimals
+    limit = F.col("u") * F.lit(1.0 + rel) + F.lit(SLACK_ABS + step)
     live = (bounds.join(upper, g)
             .filter(F.col("l_mean") - F.col("n") * F.col("radius") <= limit)
             .select(g, "cell"))
@@ -227,6 +242,7 @@ def medoid_totals(
     cand = (lb.join(upper, g).filter(F.col("lb") <= limit).select("lid")
             .join(located, "lid").select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")))
     cand = materialize(cand, "candidates")
+    discard(loc, bounds, upper)
 
     # 7. exact totals for candidates; one single-row job gives their count and
     #    the exact number of (candidate, location) pairs
@@ -283,7 +299,7 @@ def medoid(
     y_col: str,
     metric: str | Metric = "utm",
     ties: str = "all",
-    tie_decimals: int | None = None,
+    tie_decimals: int | str | None = "auto",
     check_unique: bool = False,
     **tuning,
 ) -> DataFrame:
@@ -291,30 +307,40 @@ def medoid(
 
     Output: group column, id column, the other input columns, ``total_distance``.
     ``ties="all"`` keeps every member at a minimal total (members sharing the
-    medoid's coordinates always tie); ``"first"`` keeps the lowest id.
-    ``tie_decimals`` rounds totals before ranking, so sums that differ only by
-    float rounding tie.
+    medoid's coordinates always tie); ``"first"`` keeps the lowest id. Totals
+    are rounded to ``tie_decimals`` before ranking, so sums that differ only by
+    float noise tie: ``"auto"`` is 3 for metres and 9 for degrees and
+    returns the bare totals, a number returns rounded ones, and None ranks the
+    bare sums.
+
+    Eager: the stages before the last run when it is called. Coordinates are
+    evaluated once, into a written table of (group, id, x, y); picks come back
+    by (group, id), with coordinates only as a check against repeated ids.
     """
     check_choice("ties", ties, TIES)
     require_columns(df, group_col, id_col, x_col, y_col)
-    reject_clashes(df, ("total_distance", "_pick"))
+    reject_clashes(df, ("total_distance", "_pick", "_rank", "_bx", "_by"))
     if check_unique:
         assert_unique(df.filter(F.col(group_col).isNotNull()), [group_col, id_col])
     stats = tuning.pop("stats", None)
     stats = {} if stats is None else stats
-    totals = medoid_totals(df, group_col, x_col, y_col, metric, stats=stats, **tuning)
-    if tie_decimals is not None:
-        totals = totals.withColumn("total_distance", F.round("total_distance", tie_decimals))
-    best = top_by(totals, group_col, "total_distance", None, "all")
-    # Members at the winning locations (all tie: they share coordinates).
-    # Null-safe keys: a plain equi-join would make Catalyst infer IS NOT NULL
-    # on the coordinates and push it into the projection that computed them.
-    b = best.select(*[F.col(c).alias(f"_b_{c}") for c in (group_col, x_col, y_col)], "total_distance")
-    if stats["candidates"] <= stats["broadcast_rows"]:
-        b = F.broadcast(b)  # picks are a subset of the counted candidates
-    cond = [df[c].eqNullSafe(b[f"_b_{c}"]) for c in (group_col, x_col, y_col)]
-    picked = df.join(b, cond).drop(*[f"_b_{c}" for c in (group_col, x_col, y_col)])
+    auto = tie_decimals == "auto"
+    if auto:
+        tie_decimals = TIE_DECIMALS.get(get_metric(metric).name)
+    members = materialize(df.select(*dict.fromkeys([group_col, id_col, x_col, y_col])), "members")
+    totals = medoid_totals(members, group_col, x_col, y_col, metric, stats=stats, tie_decimals=tie_decimals, **tuning)
+    rounded = F.col("total_distance") if tie_decimals is None else F.round("total_distance", tie_decimals)
+    totals = totals.withColumn("_rank", rounded)
+    if not auto:
+        totals = totals.withColumn("total_distance", F.col("_rank"))
+    best = Small(top_by(totals, group_col, "_rank", None, "all"))
+    # members at the winning locations (all tie: they share coordinates)
+    won = best.join(members, [group_col, x_col, y_col]).select(
+        group_col, id_col, F.col(x_col).alias("_bx"), F.col(y_col).alias("_by"), "total_distance", "_rank").distinct()
     if ties == "first":
-        picked = top_by(picked, group_col, "total_distance", id_col, "first")
+        won = top_by(won, group_col, "_rank", id_col, "first")
+    won = won.drop("_rank")
+    close = lambda c, b: F.abs(F.col(c) - F.col(b)) <= 1e-9 * (1.0 + F.abs(F.col(b)))
+    picked = Small(won).join(df, [group_col, id_col]).where(close(x_col, "_bx") & close(y_col, "_by")).drop("_bx", "_by")
     rest = [c for c in df.columns if c not in (group_col, id_col)]
     return picked.select(group_col, id_col, *rest, "total_distance")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .attach import Small
+
 MEDIAN_ACCURACY = 100_000
 
 
@@ -56,26 +58,27 @@ def group_median(df: DataFrame, group_col: str, cols: list[str], accuracy: int =
     sketch = sketch.select(*keys, "_n", k1.alias("_k1"), k2.alias("_k2"),
                            F.element_at("_q", 1).alias("_lo"), F.element_at("_q", 2).alias("_hi"))
 
-    def bracketed(lo: Column, hi: Column, rows: DataFrame) -> DataFrame:
-        j = rows.join(sketch, keys)
-        below = j.groupBy(*keys).agg(F.sum(F.when(F.col("_v") < lo, 1).otherwise(0)).alias("_below"))
-        inside = (j.filter((F.col("_v") >= lo) & (F.col("_v") <= hi))
-                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-        w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = (inside.join(below, keys).join(sketch.select(*keys, "_k1", "_k2"), keys)
-                  .withColumn("_cum", F.col("_below") + F.sum("_c").over(w)))
-        # the k-th value is the first whose cumulative count reaches k
-        at = lambda k: F.min(F.when(F.col("_cum") >= F.col(k), F.col("_v")))
-        return ranked.groupBy(*keys).agg(
-            ((at("_k1") + at("_k2")) / 2.0).alias("_median"),
-            F.min("_below").alias("_below"), F.max("_cum").alias("_top"),
-            F.first("_k1").alias("_k1"), F.first("_k2").alias("_k2"))
-
-    first = bracketed(F.col("_lo"), F.col("_hi"), long)
-    good = first.filter((F.col("_below") < F.col("_k1")) & (F.col("_top") >= F.col("_k2")))
-    missed = sketch.join(good.select(*keys), keys, "left_anti").select(*keys)
-    retry = bracketed(F.lit(float("-inf")), F.lit(float("inf")), long.join(missed, keys, "left_semi"))
-    med = good.select(*keys, "_median").unionByName(retry.select(*keys, "_median"))
+    sketch = Small(sketch)
+
+    def ranked(lo: Column, hi: Column, rows: DataFrame) -> Small:
+        """Per key the median if the bracket holds the middle ranks, else null.
+
+        One pass counts each value inside the bracket and, under a null, all
+        values below it."""
+        j = sketch.join(rows, keys).where(F.col("_v") <= hi).withColumn("_v", F.when(F.col("_v") >= lo, F.col("_v")))
+        counts = j.groupBy(*keys, "_k1", "_k2", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        w = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = counts.withColumn("_cum", F.sum("_c").over(w))
+        # the k-th value is the first whose cumulative count reaches k; null where that is below the bracket
+        at = lambda k: F.min(F.when(F.col("_cum") >= F.col(k), F.struct("_cum", "_v")))["_v"]
+        return Small(cum.groupBy(*keys).agg(((at("_k1") + at("_k2")) / 2.0).alias("_median")))
+
+    first = ranked(F.col("_lo"), F.col("_hi"), long)
+    med = first.df
+    missed = sketch.df.select(*keys).join(med.where(F.col("_median").isNotNull()), keys, "left_anti")
+    if not missed.isEmpty():
+        again = ranked(F.lit(float("-inf")), F.lit(float("inf")), Small(missed).join(long, keys))
+        med = med.where(F.col("_median").isNotNull()).unionByName(again.df)
     out = med.groupBy(group_col).pivot("_col", cols).agg(F.first("_median"))
     return out.select(group_col, *[F.col(c).alias(f"median_{c}") for c in cols])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.attach import Small
 from ..operators.centroid import nearest_to_centroid
 from ..operators.medoid import medoid
 from ..operators.stats import group_sizes
@@ -17,25 +18,22 @@ def map_layers(df: DataFrame, L: Layout = DEFAULT, metric: str = "utm", **tuning
     ``medoid_pick``): the table a map is drawn from. No plotting here."""
     x, y = L.coords(metric)
     base = df.select(L.group, L.id, L.lon, L.lat, x, y) if metric == "utm" else df.select(L.group, L.id, L.lon, L.lat)
-    sizes = group_sizes(df, L.group)
-    members = base.join(sizes, L.group).select(F.lit("member").alias("layer"), L.group, L.id, L.lon, L.lat,
+    sizes = Small(group_sizes(df, L.group))
+    members = sizes.join(base, L.group).select(F.lit("member").alias("layer"), L.group, L.id, L.lon, L.lat,
                                                "group_size")
     c = nearest_to_centroid(base, L.group, x, y, metric, ties="first", id_col=L.id)
     m = medoid(base, L.group, L.id, x, y, metric, ties="first", **tuning)
-    picks = (c.select(F.lit("centroid_pick").alias("layer"), L.group, L.id, L.lon, L.lat)
-             .unionByName(m.select(F.lit("medoid_pick").alias("layer"), L.group, L.id, L.lon, L.lat))
-             .join(sizes, L.group))
+    picks = sizes.join(c.select(F.lit("centroid_pick").alias("layer"), L.group, L.id, L.lon, L.lat)
+                       .unionByName(m.select(F.lit("medoid_pick").alias("layer"), L.group, L.id, L.lon, L.lat)), L.group)
     return members.unionByName(picks.select(*members.columns))
 
 
 def membership_check(picks: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how many picks there are, how many match a source row on
-    ``keys`` (semi-join) and how many do not (anti-join; must be 0)."""
-    src = source.select(*keys)
-    hit = picks.select(*keys).join(src, keys, "left_semi").select(F.lit(1).alias("_hit"))
-    miss = picks.select(*keys).join(src, keys, "left_anti").select(F.lit(0).alias("_hit"))
-    return hit.unionByName(miss).agg(
-        F.count(F.lit(1)).alias("picks"),
-        F.coalesce(F.sum("_hit"), F.lit(0)).cast("long").alias("matched"),
-        F.coalesce(F.sum(1 - F.col("_hit")), F.lit(0)).cast("long").alias("missing"),
-    )
+    ``keys`` and how many do not (must be 0). The picks go to the source rows,
+    which are scanned once and not shuffled; a null key matches nothing."""
+    wanted = Small(picks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    there = wanted.join(source.select(*keys), keys).groupBy(*keys).agg(F.max("_n").alias("_n"))
+    total = wanted.df.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("picks"))
+    matched = there.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("matched"))
+    return total.crossJoin(matched).select("picks", "matched", (F.col("picks") - F.col("matched")).alias("missing"))

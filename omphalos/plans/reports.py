@@ -10,17 +10,18 @@ layout: group ``ownership``, id ``center_id``, ``utm_x/utm_y`` metres and
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import (
     FAR_FROM_MEDIAN_M, METRICS, metres_to_km, naive_degrees_to_metres, percent_error,
 )
-from ..operators.central import first_pick_agg
+from ..operators.attach import Small
 from ..operators.guards import usable_point
 from ..operators.medoid import medoid
-from ..operators.stats import agreement, group_median, group_sizes, share_beyond
+from ..operators.stats import agreement, group_median, share_beyond
 
 UTM, HAV, EUC = METRICS["utm"], METRICS["haversine"], METRICS["euclidean"]
 
@@ -55,13 +56,20 @@ def _means(df: DataFrame, L: Layout) -> DataFrame:
 def _centroid_picks(df: DataFrame, L: Layout, metrics: list[str], carry: list[str]) -> DataFrame:
     """One row per group: for each metric the member nearest the mean as a struct
     ``pick_<metric>`` = (d, id, *carry), plus the means and the group size."""
-    j = df.join(_means(df, L), L.group)
-    aggs = []
+    means = Small(_means(df, L))
+    j = means.join(df, L.group)
     for name in metrics:
         x, y = L.coords(name)
         cx, cy = (F.col("_mux"), F.col("_muy")) if name == "utm" else (F.col("_mlon"), F.col("_mlat"))
-        aggs.append(first_pick_agg(METRICS[name], x, y, cx, cy, L.id, *carry).alias(f"pick_{name}"))
-    return j.groupBy(L.group, "_mux", "_muy", "_mlon", "_mlat", "group_size").agg(*aggs)
+        j = j.withColumn(f"_d_{name}", F.when(usable_point(x, y), METRICS[name].column(x, y, cx, cy)))
+    # least distances by a hash aggregate; only rows at one of them are compared as structs
+    least = Small(j.groupBy(L.group).agg(*[F.min(f"_d_{n}").alias(f"_l_{n}") for n in metrics]))
+    at = {n: F.col(f"_d_{n}") == F.col(f"_l_{n}") for n in metrics}
+    near = least.join(j, L.group).where(reduce(Column.__or__, at.values()))
+    aggs = [F.min(F.when(at[n], F.struct(F.col(f"_d_{n}").alias("d"), F.col(L.id).alias("id"), *[F.col(c) for c in carry])))
+            .alias(f"pick_{n}") for n in metrics]
+    picks = near.groupBy(L.group).agg(*aggs)
+    return means.join(picks, L.group)
 
 
 def _medoid_pick(df: DataFrame, L: Layout, metric: str, **tuning) -> DataFrame:
@@ -158,15 +166,15 @@ def gap_and_invariance(table: DataFrame, L: Layout = DEFAULT) -> DataFrame:
 def skew_diagnostics(df: DataFrame, L: Layout = DEFAULT, **tuning) -> DataFrame:
     """C11 (planar metres): mean-to-median offset, % of members farther than
     20 km from the median, and the utm centroid / medoid picks' distance to it."""
-    med = group_median(df, L.group, [L.utm_x, L.utm_y])
+    med = Small(group_median(df, L.group, [L.utm_x, L.utm_y]))
     mx, my = F.col(f"median_{L.utm_x}"), F.col(f"median_{L.utm_y}")
     c = _centroid_picks(df, L, ["utm"], [L.utm_x, L.utm_y])
     m = _medoid_pick(df, L, "utm", **tuning).select(L.group, F.col(L.utm_x).alias("_mx"), F.col(L.utm_y).alias("_my"))
-    far = (df.join(med, L.group)
+    far = (med.join(df, L.group)
            .groupBy(L.group)
            .agg(share_beyond(F.when(usable_point(L.utm_x, L.utm_y), UTM.column(L.utm_x, L.utm_y, mx, my)),
                              FAR_FROM_MEDIAN_M).alias("pct_far_from_median")))
-    j = c.join(med, L.group).join(m, L.group).join(far, L.group)
+    j = med.join(c, L.group).join(m, L.group).join(far, L.group)
     return j.select(
         L.group,
         UTM.column(F.col("_mux"), F.col("_muy"), mx, my).alias("mean_to_median_m"),
@@ -180,28 +188,22 @@ def drop_farthest_shift(df: DataFrame, L: Layout = DEFAULT) -> DataFrame:
     """How far the utm mean moves when the member farthest from it (all rows
     with that id; lowest id on ties) is left out. Null for a one-member group.
 
-    One pass: the new mean is (sum - removed sum) / (n - removed n)."""
+    The least farthest id comes from a hash aggregate; the mean moves by the sum
+    of that id's offsets from it, over the members that stay. Rows are scanned,
+    never shuffled."""
     ok = usable_point(L.utm_x, L.utm_y)
-    sums = df.groupBy(L.group).agg(
-        F.sum(F.when(ok, F.col(L.utm_x))).alias("_sx"), F.sum(F.when(ok, F.col(L.utm_y))).alias("_sy"),
-        F.count(F.when(ok, F.lit(1))).alias("_n"),
-    ).withColumn("_mx", F.col("_sx") / F.col("_n")).withColumn("_my", F.col("_sy") / F.col("_n"))
-    j = df.join(sums, L.group).withColumn("_d", F.when(ok, UTM.column(L.utm_x, L.utm_y, "_mx", "_my")))
-    per_id = j.groupBy(L.group, L.id).agg(
-        F.max("_d").alias("_d"), F.sum(F.when(ok, F.col(L.utm_x))).alias("_ix"),
-        F.sum(F.when(ok, F.col(L.utm_y))).alias("_iy"), F.count(F.when(ok, F.lit(1))).alias("_in"),
-    )
-    # farthest first, then the lowest id
-    far = per_id.groupBy(L.group).agg(F.max("_d").alias("_dmax"))
-    cand = per_id.join(far, L.group).filter(F.col("_d") == F.col("_dmax"))
-    pick = cand.groupBy(L.group).agg(F.min(F.struct(F.col(L.id), "_ix", "_iy", "_in")).alias("_p"))
-    out = pick.join(sums, L.group)
-    rest = F.col("_n") - F.col("_p._in")
-    nx = F.try_divide(F.col("_sx") - F.col("_p._ix"), rest)
-    ny = F.try_divide(F.col("_sy") - F.col("_p._iy"), rest)
-    return out.select(L.group, F.col("_n").alias("group_size"), F.col(f"_p.{L.id}").alias("farthest_id"),
+    means = Small(df.groupBy(L.group).agg(
+        F.avg(F.when(ok, F.col(L.utm_x))).alias("_mx"), F.avg(F.when(ok, F.col(L.utm_y))).alias("_my"),
+        F.count(F.when(ok, F.lit(1))).alias("_n")))
+    j = means.join(df, L.group).withColumn("_d", F.when(ok, UTM.column(L.utm_x, L.utm_y, "_mx", "_my")))
+    most = Small(j.groupBy(L.group).agg(F.max("_d").alias("_dmax")))
+    far = Small(most.join(j, L.group).where(F.col("_d") == F.col("_dmax")).groupBy(L.group).agg(F.min(L.id).alias("_far")))
+    gone = far.join(j, L.group).where(ok & F.col(L.id).eqNullSafe(F.col("_far"))).groupBy(L.group).agg(
+        F.sum(F.col(L.utm_x) - F.col("_mx")).alias("_ox"), F.sum(F.col(L.utm_y) - F.col("_my")).alias("_oy"),
+        F.count(F.lit(1)).alias("_gone"), F.first("_far").alias("farthest_id"))
+    out = means.join(gone, L.group)
+    rest = F.col("_n") - F.col("_gone")
+    nx = F.col("_mx") - F.try_divide(F.col("_ox"), rest)
+    ny = F.col("_my") - F.try_divide(F.col("_oy"), rest)
+    return out.select(L.group, F.col("_n").alias("group_size"), "farthest_id",
                       UTM.column(F.col("_mx"), F.col("_my"), nx, ny).alias("centroid_shift_m"))
-
-
-def group_size_table(df: DataFrame, L: Layout = DEFAULT) -> DataFrame:
-    return group_sizes(df, L.group)

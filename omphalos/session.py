@@ -69,8 +69,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = scratch_dir(spark).rstrip("/")
     path = f"{base}/omphalos-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
+    out = spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
+    out._written_to = path
+    return out
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for frames that nothing reads any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        where = sc._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
-__all__ = ["local_session", "scratch_dir", "materialize", "CHECKPOINT_CONF"]
+
+__all__ = ["local_session", "scratch_dir", "materialize", "discard", "CHECKPOINT_CONF"]

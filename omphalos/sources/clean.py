@@ -38,6 +38,14 @@ def strip_text(c) -> Column:
     return F.coalesce(F.regexp_replace(col, _EDGES, ""), F.lit(""))
 
 
+def parse_number(col: Column) -> Column:
+    """A finite decimal number, or null. The cast alone also takes Java's literals
+    (``1.5d``, ``0x1p3``), and the words for infinity and not-a-number."""
+    number = col.rlike(r"\A[\x00-\x20]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[\x00-\x20]*\z")
+    value = F.when(number, col.try_cast("double"))
+    return F.when(F.abs(value) != float("inf"), value)
+
+
 def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     """Raw rows plus ``reject_reason`` (null for a usable row) and the parsed
     coordinates ``_utm_x`` / ``_utm_y``.
@@ -48,7 +56,7 @@ def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     if on_bad not in ("reject", "fail"):
         raise ValueError(f"on_bad must be 'reject' or 'fail', got {on_bad!r}")
     ux, uy = F.col("UTM_X"), F.col("UTM_Y")
-    px, py = ux.try_cast("double"), uy.try_cast("double")
+    px, py = parse_number(ux), parse_number(uy)
     missing = ux.isNull() | (ux == "") | uy.isNull() | (uy == "")
     bad = px.isNull() | py.isNull()
     reason = (
