@@ -33,7 +33,10 @@ def membership_check(picks: DataFrame, source: DataFrame, keys: list[str]) -> Da
     ``keys`` and how many do not (must be 0). The picks go to the source rows,
     which are scanned once and not shuffled; a null key matches nothing."""
     wanted = Small(picks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
-    there = wanted.join(source.select(*keys), keys).groupBy(*keys).agg(F.max("_n").alias("_n"))
-    total = wanted.df.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("picks"))
-    matched = there.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("matched"))
-    return total.crossJoin(matched).select("picks", "matched", (F.col("picks") - F.col("matched")).alias("missing"))
+    there = wanted.join(source.select(*keys), keys).select(*keys).distinct().withColumn("_there", F.lit(True))
+    hit = F.when(F.col("_there"), F.col("_n")).otherwise(F.lit(0))
+    return wanted.df.join(there, keys, "left").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("picks"),
+        F.coalesce(F.sum(hit), F.lit(0)).cast("long").alias("matched"),
+        F.coalesce(F.sum(F.col("_n") - hit), F.lit(0)).cast("long").alias("missing"),
+    )

@@ -94,6 +94,16 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.element_at("embedding", 1), F.element_at("embedding", 2), lonlat=False)
 
 
+def mirrored_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part points mirrored at both axes: four locations tie wherever one is best."""
+    p = part_points(spark, sf_dir).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    return p.select(
+        (F.col("center_id") * 4 + F.col("_k")).alias("center_id"), "center_name", "ownership",
+        (F.col("utm_x") * F.when(F.col("_k") % 2 == 0, 1.0).otherwise(-1.0)).alias("utm_x"),
+        (F.col("utm_y") * F.when(F.col("_k") < 2, 1.0).otherwise(-1.0)).alias("utm_y"),
+    )
+
+
 def customer_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw open-data style records (all strings) derived from ``customer``.
 

@@ -159,3 +159,58 @@ def test_salted_final_stage_matches(spark):
     a = picks(medoid(df, "g", "center_id", "x", "y", "utm"))
     b = picks(medoid(df, "g", "center_id", "x", "y", "utm", broadcast_rows=0, pairs_per_task=1000))
     assert a == b == [(g, ids[0]) for g, (ids, _) in sorted(_brute(rows, "utm").items())]
+
+
+def test_medoid_ties_under_rounding_keep_every_row(spark):
+    """Totals 30.1 and 30.2 are one at no decimals; neither may be pruned before."""
+    rows = [("a", "g", 0.0, 0.0), ("b", "g", 0.1, 0.0), ("c", "g", 10.0, 0.0), ("d", "g", -10.0, 0.0), ("e", "g", -10.0, 0.0)]
+    df = fixture(spark, rows)
+    for grid in (1, 32):
+        got = medoid(df, "g", "center_id", "x", "y", "utm", tie_decimals=0, max_grid=grid)
+        assert [i for _, i in picks(got)] == ["a", "b"]
+    assert picks(medoid(df, "g", "center_id", "x", "y", "utm")) == [("g", "a")]
+
+
+@pytest.mark.parametrize("n", [3, 5, 8])
+def test_medoid_ties_of_a_polygon_are_not_float_noise(spark, n):
+    rows = [(f"{i}", "g", 440000 + 1000 * math.cos(2 * math.pi * i / n), 4474000 + 1000 * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    df = fixture(spark, rows)
+    assert picks(most_central(df, "g", "center_id", "x", "y", "utm", "medoid", ties="first")) == [("g", "0")]
+    assert len(picks(medoid(df, "g", "center_id", "x", "y", "utm"))) == n
+
+
+def test_medoid_pick_survives_coordinates_that_are_evaluated_again(spark):
+    """Each evaluation adds noise far below a rounding step, as a second evaluation of a projection may."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"p{i}", f"g{i % 3}", 1000.0 * (i % 7) + i, 500.0 * (i % 5)) for i in range(90)]
+    df = fixture(spark, rows).withColumn("x", F.col("x") + F.rand() * 1e-9)
+    got = medoid(df, "g", "center_id", "x", "y", "utm", ties="first").collect()
+    assert sorted(r["g"] for r in got) == ["g0", "g1", "g2"]
+
+
+def test_infinite_coordinates_take_no_part(spark):
+    rows = [("a", "g", 1.0, 1.0), ("b", "g", 2.0, 2.0), ("c", "g", 3.0, 3.0), ("z", "g", float("inf"), 1.0), ("y", "g", 1.0, float("-inf"))]
+    df = fixture(spark, rows)
+    assert picks(nearest_to_centroid(df, "g", "x", "y", "utm")) == [("g", "b")]
+    assert picks(medoid(df, "g", "center_id", "x", "y", "utm")) == [("g", "b")]
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_centroid_pick_moves_no_rows_behind_a_broadcast(spark, limit, monkeypatch):
+    """Both ways give the same picks; with small per-group tables no exchange carries the rows."""
+    from omphalos.operators import attach
+
+    monkeypatch.setattr(attach.Small.__init__, "__defaults__", (limit,))
+    rng = np.random.default_rng(8)
+    rows = [(f"p{i:04}", "hot" if i % 3 else f"g{i % 50}", float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 9, (900, 2)))]
+    got = nearest_to_centroid(fixture(spark, rows), "g", "x", "y", "utm")
+    want = {}
+    for g in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == g]
+        cx, cy = np.mean([r[2] for r in own]), np.mean([r[3] for r in own])
+        want[g] = min(own, key=lambda r: (r[2] - cx) ** 2 + (r[3] - cy) ** 2)[0]
+    assert {r["g"]: r["center_id"] for r in got.collect()} == want
+    if limit:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
