@@ -106,4 +106,75 @@ SELECT id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid) WHERE kind = 0"""
 
-ORACLE_SQL = {"op1_quality_rules": _op1_sql(), "op5_benchmark_decontamination": _OP5_SQL}
+
+_OP7_SQL = """WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT DISTINCT rid, doc_id, array_to_string(list_slice(ws, i, i + least(4, len(ws)) - 1), ' ') AS s
+      FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - least(4, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+both_ AS (SELECT a.rid AS ra, b.rid AS rb, a.doc_id AS a, b.doc_id AS b, count(*) AS c
+          FROM g a JOIN g b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.rid = ra JOIN n y ON y.rid = rb WHERE 100 * c >= 80 * (x.n + y.n - c)),
+step AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, top) AS (SELECT DISTINCT doc_id, doc_id FROM documents UNION SELECT step.b, reach.top FROM reach JOIN step ON step.a = reach.node),
+part AS (SELECT node, min(top) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (rid) JOIN part ON part.node = d.doc_id"""
+
+
+def _op8_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rest = lambda u: f"(CASE WHEN contains({u}, '://') THEN substr({u}, strpos({u}, '://') + 3) ELSE '' END)"
+    host = lambda u: f"translate(regexp_extract({rest(u)}, '^([^/?#]*)', 1), '{upper}', '{upper.lower()}')"
+    path = lambda u: f"regexp_extract({rest(u)}, '^[^/?#]*([^?#]*)', 1)"
+    query = lambda u: f"regexp_extract({rest(u)}, '^[^?#]*(\\?[^#]*)', 1)"
+    address = lambda u: f"CASE WHEN {host(u)} <> '' THEN {host(u)} || CASE WHEN {path(u)} = '' THEN '/' ELSE {path(u)} END || {query(u)} END"
+
+    def rule(h: str, p: str, what: str) -> str:
+        cases = [
+            f"WHEN ({h} = '{r.host}' OR ends_with({h}, '.{r.host}')) AND starts_with({p}, '{r.path}') THEN '{r.host + r.path if what == 'rule' else r.verdict}'"
+            for r in sorted(url_filter.RULES, key=lambda r: -len(r.host + r.path))
+        ]
+        return f"CASE {' '.join(cases)} END"
+
+    patterns = ", ".join("regexp_extract(html, '" + p.replace("'", "''") + "', 1)" for p in (url_filter.REFRESH, url_filter.CANONICAL, url_filter.CANONICAL_LAST))
+    full = f"CASE WHEN starts_with(t, '//') THEN 'http:' || t WHEN starts_with(t, '/') THEN 'http://' || {host('url')} || t ELSE t END"
+    return f"""WITH RECURSIVE p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+named AS (SELECT DISTINCT url, unnest([{patterns}]) AS t FROM p),
+full_ AS (SELECT url, {full} AS t FROM named WHERE t <> ''),
+e AS (SELECT DISTINCT {address('url')} AS a, {address('t')} AS b FROM full_),
+step AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+reach(node, top) AS (SELECT DISTINCT a, a FROM step UNION SELECT step.b, reach.top FROM reach JOIN step ON step.a = reach.node),
+part AS (SELECT node, min(top) AS top, {host("'x://' || node")} AS h, {path("'x://' || node")} AS q FROM reach GROUP BY node),
+own AS (SELECT node, top, {rule('h', 'q', 'verdict')} AS own FROM part),
+bad AS (SELECT top FROM own GROUP BY top HAVING bool_or(coalesce(own = 'block', false)) AND NOT bool_or(coalesce(own = 'allow', false))),
+x AS (SELECT page_id, {host('url')} AS host, {path('url')} AS path, {address('url')} AS node FROM p)
+SELECT page_id, host, path, {rule('host', 'path', 'rule')} AS rule,
+       coalesce({rule('host', 'path', 'verdict')}, CASE WHEN top IN (SELECT top FROM bad) THEN 'block' END, 'allow') AS verdict
+FROM x LEFT JOIN own USING (node)"""
+
+
+_OP9_SQL = """WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+w AS (SELECT rid, doc_id, i, substr(t, 2 * i + 1, 100) AS s FROM (SELECT rid, doc_id, t, unnest(range(0, strlen(t) // 2 - 49)) AS i FROM d WHERE strlen(t) >= 100)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT rid, i FROM w JOIN f USING (s) WHERE doc_id > least),
+mark AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+run_ AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS k FROM mark),
+runs AS (SELECT rid, k, min(i) AS a, max(i) + 50 AS b FROM run_ GROUP BY rid, k),
+gaps AS (SELECT rid, k, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY k), 0) AS x, a AS y FROM runs
+         UNION ALL SELECT rid, max(k) + 1, max(b), NULL FROM runs GROUP BY rid),
+kept AS (SELECT rid, string_agg(substr(t, 2 * x + 1, 2 * (coalesce(y, strlen(t) // 2) - x)), '' ORDER BY k) AS h
+         FROM gaps JOIN d USING (rid) GROUP BY rid),
+total AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY rid)
+SELECT doc_id, CAST(strlen(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(h, t))) AS kept_sha256
+FROM d LEFT JOIN total USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+ORACLE_SQL = {
+    "op1_quality_rules": _op1_sql(),
+    "op5_benchmark_decontamination": _OP5_SQL,
+    "op7_minhash_near_dedup": _OP7_SQL,
+    "op8_url_filters": _op8_sql(),
+    "op9_suffix_dedup": _OP9_SQL,
+}
