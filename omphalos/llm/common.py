@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from functools import reduce
 
@@ -43,7 +44,7 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.base}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
@@ -54,6 +55,13 @@ class Scratch:
         for df in frames:
             where = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             where.getFileSystem(conf).delete(where, True)
+        self.sweep()
+
+    def sweep(self) -> None:
+        """Let Spark drop the shuffle files of finished steps: it does so once the
+        driver has collected the plans that made them."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def hot_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, most_hot: int = 1000) -> DataFrame:
@@ -62,14 +70,15 @@ def hot_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, most_hot
     ``small[weight]`` counts the rows of ``big`` with that key. Keys that hold
     more than 1/``most_hot`` of all rows number at most ``most_hot``, so their
     rows of ``small`` are broadcast, and no task gathers a hot key; all other
-    keys meet in a shuffle join. ``weight`` is not in the result.
+    keys meet in a merge join, at every size, as ``small`` grows with the data.
+    ``weight`` is not in the result.
     """
     total = small.agg(F.sum(weight)).first()[0] or 0
     limit = max(5_000, -(-total // most_hot))
     hot = small.where(F.col(weight) > limit).drop(weight)
     if hot.isEmpty():
-        return big.join(small.drop(weight), key)
-    cold = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(small.where(F.col(weight) <= limit).drop(weight), key)
+        return big.join(small.drop(weight).hint("merge"), key)
+    cold = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(small.where(F.col(weight) <= limit).drop(weight).hint("merge"), key)
     return cold.unionByName(big.join(F.broadcast(hot), key))
 
 

@@ -3,9 +3,9 @@
 Documents with equal shingle sets form classes, and one of each class goes on.
 Members of a band bucket are compared with the bucket's least member (a star,
 never all pairs); the links found join them into components. Only buckets that
-still hold several components are looked at again: small ones compare the
-members of different components, large ones are divided by a further band
-(a true link shares many bands) and treated the same way.
+still hold several components are looked at again: their members outside the
+largest component are compared, by signature and inside the tasks, with the
+members of other components, and what passes is checked exactly.
 """
 
 from __future__ import annotations
@@ -25,16 +25,17 @@ from omphalos.llm.components import connected_components
 #: Bands of ROWS minima each. A link of similarity 0.8 misses every band with
 #: probability (1 - 0.8**6)**64 = 4e-9.
 BANDS, ROWS = 64, 6
-#: Sketch bytes that may differ in a pair of similarity 0.8: the mean is 0.2 of
-#: BANDS * ROWS and the deviation 0.0204 of it; seven deviations are allowed.
-SLACK = 7.0
-#: Members of a bucket up to which the members of its components are compared.
-SMALL = 48
+#: Minima of a sketch: those of the bands and more. In a pair of similarity 0.8
+#: a fifth of its bytes differ, with a deviation of 1.4 % of all; five deviations
+#: are allowed, so a link fails the sketch with probability 3e-7.
+SKETCH, SLACK = 768, 5.0
+#: Comparisons of signatures that one block of an open bucket holds.
+BLOCK = 20_000_000
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEEDS = np.random.default_rng(20240607)
-_A = (_SEEDS.integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-_B = _SEEDS.integers(0, 1 << 32, BANDS * ROWS, np.uint32)[:, None]
+_A = (_SEEDS.integers(0, 1 << 31, SKETCH, np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_B = _SEEDS.integers(0, 1 << 32, SKETCH, np.uint32)[:, None]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,9 +75,9 @@ class Shingler:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """BANDS * ROWS minima under universal hashes a*x + b of the shingles, as 32-bit numbers."""
+    """SKETCH minima under universal hashes a*x + b of the shingles, as 32-bit numbers."""
     x = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
-    out = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    out = np.full(SKETCH, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 2048):  # keeps the table of a long text small
         part = x[None, at : at + 2048] * _A
         part += _B
@@ -105,9 +106,9 @@ def signed(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
                         continue
                     minima = signature(s)
                     keys = _mix(np.arange(1, BANDS + 1).astype(np.uint64))
-                    for row in minima.reshape(BANDS, ROWS).T:
+                    for row in minima[: BANDS * ROWS].reshape(BANDS, ROWS).T:
                         keys = _mix(keys + row.astype(np.uint64) * _P2)
-                    rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), keys.astype(np.int64), (minima >> np.uint32(24)).astype(np.uint8).tobytes()))
+                    rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), keys.astype(np.int64), ((minima * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()))
                 n, marks, keys, sketches = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [whole.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=schema.names
@@ -116,12 +117,17 @@ def signed(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(sign, schema)
 
 
+def _slack(percent: int) -> int:
+    """Sketch bytes that may differ in a pair of the similarity."""
+    total, p = SKETCH, percent / 100
+    return int(total * (1 - p) + SLACK * (total * p * (1 - p)) ** 0.5)
+
+
 def _alike(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes allow the similarity and whose sketches agree enough (with SLACK)."""
-    total, p = BANDS * ROWS, percent / 100
-    most = int(total * (1 - p) + SLACK * (total * p * (1 - p)) ** 0.5)
+    total, most = SKETCH, _slack(percent)
     a, b = (cards.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    sized = pairs.join(a, "a").join(b, "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    sized = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,8 +139,71 @@ def _alike(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _across(member: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components in a bucket that sizes and sketches allow.
+
+    ``member`` is ``key, doc_id, component``. A bucket of n members with o of
+    them outside its largest component takes o * n comparisons; it is cut into
+    blocks of BLOCK of them, each with a share of the o, and only pairs that
+    pass leave a task.
+    """
+    total, most = SKETCH, _slack(percent)
+    by_part = member.groupBy("key", "component").agg(F.count("*").alias("c"))
+    largest = by_part.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n")).where("n > top.c")
+    blocks = F.ceil((F.col("n") - F.col("top.c")) * F.col("n") / BLOCK).cast("int")
+    open_ = largest.select("key", F.col("top.component").alias("main"), blocks.alias("blocks"), "n")
+    wide = hot_lookup(member, open_, "key", "n").join(cards.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    wide = wide.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "doc_id", "component", "n_shingles", "sketch", (F.col("component") != F.col("main")).alias("outside"), "blocks")
+    mine = F.col("outside") & (F.pmod(F.xxhash64("doc_id"), F.col("blocks")) == F.col("block"))
+    wide = wide.select("key", "block", "doc_id", "component", "n_shingles", "sketch", mine.alias("mine"))
+
+    def near(doc, part, size, sketch, mine) -> tuple[np.ndarray, np.ndarray]:
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in np.flatnonzero(mine):
+            can = np.flatnonzero((part != part[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+            can = can[(sketch[can] != sketch[i]).sum(axis=1) <= most]
+            a.append(np.minimum(doc[can], doc[i]))
+            b.append(np.maximum(doc[can], doc[i]))
+        return np.concatenate(a), np.concatenate(b)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # rows of a bucket that goes on in the next batch
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def ended(columns: list[np.ndarray], last: bool) -> list[np.ndarray]:
+            bucket = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)) + 1
+            edges = [0, *bucket.tolist(), *([len(columns[0])] if last else [])]
+            for x, y in zip(edges, edges[1:], strict=False):
+                found.append(near(*(c[x:y] for c in columns[2:])))
+            return [c[edges[-1] :] for c in columns]
+
+        def pairs() -> pa.RecordBatch:
+            a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ((), ())))
+            once = np.unique(np.stack([a, b]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(once[0]), pa.array(once[1])], names=["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "doc_id", "component", "n_shingles")]
+            columns.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, total))
+            columns.append(batch.column("mine").to_numpy(zero_copy_only=False))
+            held = ended(columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)], False)
+            if sum(len(x) for x, _ in found) > 100_000:
+                yield pairs()
+                found.clear()
+        if held is not None:
+            ended(held, True)
+        yield pairs()
+
+    dealt = wide.repartition("key", "block").sortWithinPartitions("key", "block")
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have the similarity: 100 * both >= percent * either."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # a merge join at every size: the ids grow with the documents
+    texts = scratch.save(texts.join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
+    scratch.sweep()
     a, b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +218,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 good.append(100 * both >= percent * (len(last[1]) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
+    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -168,71 +237,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     usable = cards.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = scratch.save(usable.groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
     several = classes.where("n > 1")
-    same = scratch.save(hot_lookup(usable.select("print", "doc_id"), several, "print", "n").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "same")
+    same = scratch.save(hot_lookup(usable.select("print", "doc_id"), several, "print", "n").where("doc_id <> rep").select("doc_id", "rep"), "same")
     reps = usable.join(classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi").dropDuplicates(["print", "doc_id"])
     reps = scratch.save(reps.select("doc_id", "n_shingles", "keys", "sketch"), "reps")
-    found = None
-    buckets = scratch.save(reps.select(F.explode("keys").alias("key"), "doc_id"), "buckets")
-    tested, level = None, 0
-    while True:
-        heads = scratch.save(buckets.groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
-        if heads.isEmpty():
-            break
-        size = heads.select("key", F.col("n").alias("size"))
-        shared = scratch.save(hot_lookup(buckets, heads.withColumn("size", F.col("n")), "key", "n"), "shared")
-        scratch.drop(buckets)
-        stars = shared.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-        found, tested = _more(scratch, found, tested, stars, reps, docs, doc_id, text, words, percent)
-        # buckets with several components
-        parts = connected_components(scratch, found)
-        member = shared.select("key", "doc_id", "size").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        member = scratch.save(member.withColumn("component", F.coalesce("component", "doc_id")), "member")
-        scratch.drop(shared, heads)
-        open_ = scratch.save(member.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high").drop("low", "high"), "open")
-        left = scratch.save(hot_lookup(member, open_, "key", "n"), "left")
-        scratch.drop(member, open_)
-        small = left.where(F.col("size") <= SMALL).select("key", "doc_id", "component")
-        other = small.select("key", F.col("doc_id").alias("d2"), F.col("component").alias("c2"))
-        cross = small.join(other, "key").where("component <> c2 AND doc_id < d2").select(F.col("doc_id").alias("a"), F.col("d2").alias("b")).distinct()
-        found, tested = _more(scratch, found, tested, cross, reps, docs, doc_id, text, words, percent)
-        large = left.where(F.col("size") > SMALL).select("key", "doc_id")
-        if large.isEmpty():
-            break
-        level += 1
-        keys = reps.select("doc_id", F.posexplode("keys").alias("band", "own"))
-        buckets = scratch.save(
-            large.join(keys, "doc_id").where("own <> key").select(F.xxhash64(F.least("key", "own"), F.greatest("key", "own"), F.lit(level)).alias("key"), "doc_id").distinct(), "buckets"
-        )
-        scratch.drop(left)
+    sizes = scratch.save(cards.select("doc_id", "n_shingles"), "sizes")
+    scratch.drop(cards)
+    buckets = reps.select(F.explode("keys").alias("key"), "doc_id")
+    heads = scratch.save(buckets.groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
+    shared = scratch.save(hot_lookup(buckets, heads, "key", "n"), "shared")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    stars = shared.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    near = scratch.save(_alike(stars, reps, percent), "near")
+    found = scratch.save(_confirmed(scratch, near, texts, words, percent), "found")
+    parts = connected_components(scratch, found).withColumnsRenamed({"node": "doc_id"})
+    member = shared.select("key", "doc_id").join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    member = scratch.save(member, "member")
+    scratch.drop(shared, heads)
+    across = scratch.save(_across(member, reps, percent), "across")
+    scratch.drop(member)
+    more = scratch.save(_confirmed(scratch, across, texts, words, percent), "more")
+    parts = connected_components(scratch, found.unionByName(more)).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
     # a class has the component of the document that stands for it
-    found = found or spark.createDataFrame([], "a long, b long")
-    parts = connected_components(scratch, found).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "component_id")
     named = several.selectExpr("rep", "n").join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left").select("rep", F.coalesce("component_id", "rep").alias("component_id"), "n")
-    copies = hot_lookup(same.selectExpr("a AS doc_id", "b AS rep"), scratch.save(named, "named"), "rep", "n").select("doc_id", "component_id")
+    copies = hot_lookup(same, scratch.save(named, "named"), "rep", "n").select("doc_id", "component_id")
     # rows that share an id can be of several classes; the least component is theirs
     parts = parts.unionByName(copies).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    out = cards.select("doc_id", "n_shingles").join(parts, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    out = sizes.join(parts, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _more(scratch, found, tested, pairs, reps, docs, doc_id, text, words, percent):
-    """Links and tested pairs so far, with what ``pairs`` add."""
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    pairs = scratch.save(pairs, "pairs")
-    near = scratch.save(_alike(pairs, reps, percent), "alike")
-    ids = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-    # rows that share an id: the one that stands for the id is the one of its class
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, "doc_id", "left_semi")
-    links = _confirmed(near, texts, words, percent)
-    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    found = scratch.save(found.unionByName(links) if found else links, "found")
-    scratch.drop(near)
-    if tested is not None:
-        pairs = scratch.save(tested.unionByName(pairs), "tested")
-    return found, pairs
-
-
 def op7_minhash_near_dedup(docs: DataFrame) -> DataFrame:
     """``near_duplicates`` on four-word shingles and a similarity of 0.8."""
     return near_duplicates(docs, words=4, percent=80)
