@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from functools import reduce
 
@@ -60,8 +61,10 @@ class Scratch:
     def sweep(self) -> None:
         """Let Spark drop the shuffle files of finished steps: it does so once the
         driver has collected the plans that made them."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
 
 def hot_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, most_hot: int = 1000) -> DataFrame:

@@ -26,8 +26,9 @@ from omphalos.llm.suffix_sort import CAP, SEPARATOR, suffix_order
 
 SPAN, ANCHOR = CAP, 24
 REACH = SPAN - ANCHOR  # bytes of surroundings on either side of an anchor
-#: Anchors that a task looks at together, and bytes of text or surroundings for each shard.
-CHUNK, SHARD_BYTES = 1_500_000, 12_000_000
+#: Anchors that a task looks at together, bytes of text for each task that compares anchors, bytes of
+#: surroundings for each task that sorts them (about 100 bytes of memory each), and shards of a task.
+CHUNK, TEXT_BYTES, SORT_BYTES, FINE = 1_500_000, 12_000_000, 2_500_000, 4
 
 _BASE = np.uint64(0x100000001B3)
 
@@ -79,7 +80,7 @@ def _pack(shard: int, kind: int, **columns: np.ndarray | bytes) -> dict:
     return {"shard": shard, "kind": kind} | {k: v if isinstance(v, bytes) else v.tobytes() for k, v in columns.items()}
 
 
-_ASK = "shard int, kind int, key binary, doc binary, row binary, place binary, proven binary"
+_ASK = "shard int, kind int, key binary, row binary, place binary, proven binary"
 _SEEN = "shard int, kind int, key binary, doc binary, row binary, place binary, size binary, body binary"
 
 
@@ -113,35 +114,36 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, ...]]:
 
 
 def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
-    """``(row, place)`` of every anchor that two documents or more have; ``texts`` is ``row, doc_id, text``."""
+    """``(row, place)`` of every anchor that two rows or more have; ``texts`` is ``row, text``."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         count = 0
 
         def flush() -> pa.RecordBatch:
-            key, doc, row, place = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((doc, key))
-            key, doc, row, place = key[order], doc[order], row[order], place[order]
+            key, row, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((row, key))
+            key, row, place = key[order], row[order], place[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             last = np.append(first[1:], len(key)) - 1
             group = np.repeat(np.arange(len(first)), last - first + 1)
-            proven = (doc[first] != doc[last])[group]
+            proven = (row[first] != row[last])[group]
             asked = ~proven
             asked[first] = True  # of a proven anchor one tells the other tasks, and the rest are reported
             out = []
-            shard = (key % np.uint64(shards)).astype(np.int64)
+            shard = (key % np.uint64(FINE * shards)).astype(np.int64)
             for s, i in _by(np.where(asked, shard, -1)):
                 if s >= 0:
-                    out.append(_pack(s, 0, key=key[i], doc=doc[i], row=row[i], place=place[i], proven=proven[i]))
+                    out.append(_pack(s, 0, key=key[i], row=row[i], place=place[i], proven=proven[i]))
                 else:
                     out += [_pack(n, 1, row=row[j], place=place[j]) for n, j in ((n, i[n :: min(shards, 64)]) for n in range(min(shards, 64)))]
             return _batch(out, _ASK)
 
-        for rows, docs, raw in _texts(batches):
-            for r, d, t in zip(rows, docs, raw, strict=True):
+        for rows, raw in _texts(batches):
+            for r, t in zip(rows, raw, strict=True):
                 place, key = anchors(np.frombuffer(t, np.uint8))
-                held.append((key, np.full(len(key), d, np.int64), np.full(len(key), r, np.int64), place.astype(np.int32)))
+                # 48 bits of the hash: a chance meeting only costs a closer look
+                held.append((key & np.uint64(0xFFFFFFFFFFFF), np.full(len(key), r, np.int64), place.astype(np.int32)))
                 count += len(key)
                 if count > CHUNK:
                     yield flush()
@@ -151,13 +153,13 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, known = _parts(batches)
-        key, doc, row, place, proven = (_join(asked.get(c), k) for c, k in (("key", np.uint64), ("doc", np.int64), ("row", np.int64), ("place", np.int32), ("proven", bool)))
-        good = order = np.lexsort((doc, key))
+        key, row, place, proven = (_join(asked.get(c), k) for c, k in (("key", np.uint64), ("row", np.int64), ("place", np.int32), ("proven", bool)))
+        good = order = np.lexsort((row, key))
         if len(order):
-            key, doc = key[order], doc[order]
+            key, by = key[order], row[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             last = np.append(first[1:], len(key)) - 1
-            shared = (doc[first] != doc[last]) | np.maximum.reduceat(proven[order], first)
+            shared = (by[first] != by[last]) | np.maximum.reduceat(proven[order], first)
             good = order[np.repeat(shared, last - first + 1)]
         rows = np.concatenate([row[good], _join(known.get("row"), np.int64)])
         places = np.concatenate([place[good], _join(known.get("place"), np.int32)])
@@ -250,7 +252,7 @@ def _repeated(around: DataFrame, shards: int) -> DataFrame:
                 entries += [(key, doc, r, a, body, left) for r, a in at]
             if entries:
                 keys = np.array([e[0] for e in entries], np.uint64)
-                for s, i in _by((keys % np.uint64(shards)).astype(np.int64)):
+                for s, i in _by((keys % np.uint64(FINE * shards)).astype(np.int64)):
                     own = [entries[j] for j in i.tolist()]
                     size = np.array([(len(e[4]), e[5]) for e in own], np.int32)
                     out.append(
@@ -364,11 +366,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     scratch.drop(marks, classes)
     texts = scratch.save(marked.join(copies, ["doc_id", "mark"], "left_anti").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "texts")
     total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    found = scratch.save(_shared_anchors(texts, max(12, -(-total // SHARD_BYTES))), "anchors")
+    scratch.sweep()
+    found = scratch.save(_shared_anchors(texts.select("row", "text"), max(12, -(-total // TEXT_BYTES))), "anchors")
     size = found.count() * (SPAN + REACH)
+    scratch.sweep()
     places = found.groupBy("row").agg(F.collect_list("place").alias("places"))
     around = texts.join(places.hint("shuffle_hash"), "row").select("row", "doc_id", "places", "text")
-    runs = scratch.save(_repeated(around, max(12, -(-size // SHARD_BYTES))), "runs")
+    runs = scratch.save(_repeated(around, max(12, -(-size // SORT_BYTES))), "runs")
     scratch.drop(found)
     by_row = runs.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     cut = _cut(texts.join(by_row.hint("shuffle_hash"), "row", "left").select("doc_id", "runs", "text"))
