@@ -364,7 +364,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = scratch.save(marks.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1"), "classes")
     copies = scratch.save(hot_lookup(marks, classes, "mark", "n").where("doc_id > rep").select("doc_id", "mark").distinct(), "copies")
     scratch.drop(marks, classes)
-    texts = scratch.save(marked.join(copies, ["doc_id", "mark"], "left_anti").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "texts")
+    texts = scratch.save(marked.join(copies.hint("merge"), ["doc_id", "mark"], "left_anti").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "texts")
     total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     scratch.sweep()
     found = scratch.save(_shared_anchors(texts.select("row", "text"), max(12, -(-total // TEXT_BYTES))), "anchors")
@@ -378,7 +378,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cut = _cut(texts.join(by_row.hint("shuffle_hash"), "row", "left").select("doc_id", "runs", "text"))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    gone = marked.join(copies, ["doc_id", "mark"], "left_semi").select("doc_id", n_bytes.alias("n_bytes")).select("doc_id", "n_bytes", whole.alias("spans"), F.lit(b"").alias("kept"))
+    gone = marked.join(copies.hint("merge"), ["doc_id", "mark"], "left_semi").select("doc_id", n_bytes.alias("n_bytes")).select("doc_id", "n_bytes", whole.alias("spans"), F.lit(b"").alias("kept"))
     short = rows.where(~long_enough).select("doc_id", n_bytes.alias("n_bytes"), none.alias("spans"), F.col("text").cast("binary").alias("kept"))
     return cut.unionByName(gone).unionByName(short)
 
