@@ -7,11 +7,14 @@ hash, so equal windows meet; each shard sorts the suffixes of the different
 surroundings by external induction (``suffix_sort``), whose common-prefix values
 give the groups of equal windows. What a task already knows to be repeated, it
 reports itself, so a passage of a third of all documents reaches its shard once
-for each task and not once for each document.
+for each task and not once for each document. An anchor with HOT places or more
+is not sorted in one shard: its surroundings are dealt by ever longer parts of
+the windows around it, and only parts that two documents have go on.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omphalos.llm.bpe import takes
-from omphalos.llm.common import Scratch, hot_lookup
+from omphalos.llm.common import Scratch, hot_lookup, union_all
 from omphalos.llm.suffix_sort import CAP, SEPARATOR, suffix_order
 
 SPAN, ANCHOR = CAP, 24
@@ -29,6 +32,8 @@ REACH = SPAN - ANCHOR  # bytes of surroundings on either side of an anchor
 #: Anchors that a task looks at together, bytes of text for each task that compares anchors, bytes of
 #: surroundings for each task that sorts them (about 100 bytes of memory each), and shards of a task.
 CHUNK, TEXT_BYTES, SORT_BYTES, FINE = 1_500_000, 12_000_000, 2_500_000, 4
+#: Places from which on an anchor is hot, and bytes of text for each more of them (so hot anchors are few).
+HOT, HOT_SHARE = 10_000, 10_000_000
 
 _BASE = np.uint64(0x100000001B3)
 
@@ -80,8 +85,10 @@ def _pack(shard: int, kind: int, **columns: np.ndarray | bytes) -> dict:
     return {"shard": shard, "kind": kind} | {k: v if isinstance(v, bytes) else v.tobytes() for k, v in columns.items()}
 
 
-_ASK = "shard int, kind int, key binary, row binary, place binary, proven binary"
+_ASK = "shard int, kind int, key binary, row binary, place binary, times binary"
+_FOUND = "row long, place int, hot long"
 _SEEN = "shard int, kind int, key binary, doc binary, row binary, place binary, size binary, body binary"
+_RUNS = "row long, start int, end int, key long, doc long, left int, body binary"
 
 
 def _batch(rows: list[dict], schema: str) -> pa.RecordBatch:
@@ -90,9 +97,9 @@ def _batch(rows: list[dict], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in zip(names, kinds, strict=True)], names=names)
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> tuple[dict[str, list[bytes]], dict[str, list[bytes]]]:
-    """Blobs by column of the rows of kind 0 and of kind 1."""
-    found: tuple[dict, dict] = ({}, {})
+def _parts(batches: Iterator[pa.RecordBatch]) -> tuple[dict[str, list[bytes]], ...]:
+    """Blobs by column of the rows of kind 0, of kind 1 and of kind 2."""
+    found: tuple[dict, ...] = ({}, {}, {})
     for batch in batches:
         for r in batch.to_pylist():
             for k, v in r.items():
@@ -113,8 +120,11 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, ...]]:
             yield *(c.to_pylist() for c in rest), [t.encode() if isinstance(t, str) else t for t in text.to_pylist()]
 
 
-def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
-    """``(row, place)`` of every anchor that two rows or more have; ``texts`` is ``row, text``."""
+def _shared_anchors(texts: DataFrame, shards: int, limit: int) -> DataFrame:
+    """``(row, place)`` of every anchor that two rows or more have; ``texts`` is ``row, text``.
+
+    Rows with ``hot`` instead name the anchors of more than ``limit`` places.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -130,11 +140,12 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             proven = (row[first] != row[last])[group]
             asked = ~proven
             asked[first] = True  # of a proven anchor one tells the other tasks, and the rest are reported
+            times = np.where(proven, (last - first + 1)[group], 1).astype(np.int32)  # places that it stands for
             out = []
             shard = (key % np.uint64(FINE * shards)).astype(np.int64)
             for s, i in _by(np.where(asked, shard, -1)):
                 if s >= 0:
-                    out.append(_pack(s, 0, key=key[i], row=row[i], place=place[i], proven=proven[i]))
+                    out.append(_pack(s, 0, key=key[i], row=row[i], place=place[i], times=times[i]))
                 else:
                     out += [_pack(n, 1, row=row[j], place=place[j]) for n, j in ((n, i[n :: min(shards, 64)]) for n in range(min(shards, 64)))]
             return _batch(out, _ASK)
@@ -152,21 +163,27 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             yield flush()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, known = _parts(batches)
-        key, row, place, proven = (_join(asked.get(c), k) for c, k in (("key", np.uint64), ("row", np.int64), ("place", np.int32), ("proven", bool)))
+        asked, known, _ = _parts(batches)
+        key, row, place, times = (_join(asked.get(c), k) for c, k in (("key", np.uint64), ("row", np.int64), ("place", np.int32), ("times", np.int32)))
         good = order = np.lexsort((row, key))
+        hot = np.empty(0, np.int64)
         if len(order):
             key, by = key[order], row[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             last = np.append(first[1:], len(key)) - 1
-            shared = (by[first] != by[last]) | np.maximum.reduceat(proven[order], first)
+            # one that stands for several is of several rows
+            shared = (by[first] != by[last]) | (np.maximum.reduceat(times[order], first) > 1)
             good = order[np.repeat(shared, last - first + 1)]
+            hot = key[first[shared & (np.add.reduceat(times[order].astype(np.int64), first) > limit)]].astype(np.int64)
         rows = np.concatenate([row[good], _join(known.get("row"), np.int64)])
         places = np.concatenate([place[good], _join(known.get("place"), np.int32)])
         for at in range(0, len(rows), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(rows[at : at + 100_000]), pa.array(places[at : at + 100_000])], names=["row", "place"])
+            part = rows[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(places[at : at + 100_000]), pa.nulls(len(part), pa.int64())], names=["row", "place", "hot"])
+        if len(hot):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), pa.nulls(len(hot), pa.int32()), pa.array(hot)], names=["row", "place", "hot"])
 
-    return texts.mapInArrow(ask, _ASK).repartition(shards, "shard").mapInArrow(answer, "row long, place int")
+    return texts.mapInArrow(ask, _ASK).repartition(shards, "shard").mapInArrow(answer, _FOUND)
 
 
 def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -238,8 +255,45 @@ def _merged(rows: list[int], starts: list[int], ends: list[int]) -> Iterator[tup
         yield held
 
 
-def _repeated(around: DataFrame, shards: int) -> DataFrame:
-    """``(row, start, end)`` of repeated bytes; ``around`` is ``row, doc_id, places, text`` with the shared anchors' places."""
+def _sorted_runs(key: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray, left: np.ndarray, around: list[bytes]) -> list[tuple[int, int, int]]:
+    """``(row, start, end)`` of what the surroundings of each key have from a smaller document."""
+    one: dict[tuple, int] = {}  # the different surroundings
+    which = np.empty(len(key), np.int64)
+    bodies: list[bytes] = []
+    for i, (k, x, a) in enumerate(zip(key.tolist(), around, left.tolist(), strict=True)):
+        n = which[i] = one.setdefault((k, x, a), len(bodies))
+        if n == len(bodies):
+            bodies.append(x)
+    if not bodies:
+        return []
+    least = np.full(len(bodies), np.iinfo(np.int64).max)
+    np.minimum.at(least, which, doc)
+    keys, lefts = np.array([k for k, _, _ in one], key.dtype), np.array([a for _, _, a in one])
+    asked_for = np.flatnonzero(_related(keys, bodies, lefts))
+    runs: list[list[tuple[int, int]]] = [[] for _ in bodies]
+    for n, found in zip(asked_for.tolist(), repeated_windows([bodies[n] for n in asked_for], least[asked_for]), strict=True):
+        runs[n] = found
+    later = (doc > least[which]).tolist()
+    out: list[tuple[int, int, int]] = []
+    for i, (n, r, a) in enumerate(zip(which.tolist(), row.tolist(), place.tolist(), strict=True)):
+        for x, y in [(0, len(bodies[n]))] if later[i] else runs[n]:
+            out.append((r, a + x, a + y))
+    return out
+
+
+def _run_batches(out: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+    """``row, start, end`` of the unions of runs."""
+    merged = list(_merged(*map(list, zip(*out, strict=True)))) if out else []
+    for at in range(0, len(merged), 50_000):
+        part = np.array(merged[at : at + 50_000], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1].astype(np.int32)), pa.array(part[:, 2].astype(np.int32))], names=["row", "start", "end"])
+
+
+def _repeated(around: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
+    """``(row, start, end)`` of repeated bytes; ``around`` is ``row, doc_id, places, text`` with the shared anchors' places.
+
+    Surroundings of the anchors in ``hot`` (sorted) aren't looked at: they are rows with a ``body``, for ``_split``.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, bytes, int], tuple[int, list[tuple[int, int]]]] = {}
@@ -252,11 +306,17 @@ def _repeated(around: DataFrame, shards: int) -> DataFrame:
                 entries += [(key, doc, r, a, body, left) for r, a in at]
             if entries:
                 keys = np.array([e[0] for e in entries], np.uint64)
-                for s, i in _by((keys % np.uint64(FINE * shards)).astype(np.int64)):
+                apart = np.isin((keys & np.uint64(0xFFFFFFFFFFFF)).astype(np.int64), hot) if len(hot) else np.zeros(len(keys), bool)
+                shard = (keys % np.uint64(FINE * shards)).astype(np.int64)
+                if apart.any():  # evenly to all shards, in small blobs
+                    i = np.flatnonzero(apart)
+                    first = zlib.crc32(entries[i[0]][4])
+                    shard[i] = -1 - (first + np.arange(len(i)) // 500) % shards
+                for s, i in _by(shard):
                     own = [entries[j] for j in i.tolist()]
                     size = np.array([(len(e[4]), e[5]) for e in own], np.int32)
                     out.append(
-                        _pack(s, 0, key=keys[i], doc=np.array([e[1] for e in own], np.int64), row=np.array([e[2] for e in own], np.int64), place=np.array([e[3] for e in own], np.int32), size=size, body=b"".join(e[4] for e in own))
+                        _pack(max(s, -1 - s), 0 if s >= 0 else 2, key=keys[i], doc=np.array([e[1] for e in own], np.int64), row=np.array([e[2] for e in own], np.int64), place=np.array([e[3] for e in own], np.int32), size=size, body=b"".join(e[4] for e in own))
                     )
             runs = [*_merged(*map(list, zip(*known, strict=True)))] if known else []
             for n in range(0, len(runs), 20_000):
@@ -288,40 +348,76 @@ def _repeated(around: DataFrame, shards: int) -> DataFrame:
                     count = 0
         yield flush()
 
+    def entries(blobs: dict[str, list[bytes]]) -> tuple:
+        key, doc, row, place = (_join(blobs.get(c), k) for c, k in (("key", np.uint64), ("doc", np.int64), ("row", np.int64), ("place", np.int32)))
+        size = _join(blobs.get("size"), np.int32).reshape(-1, 2)
+        body, cut = b"".join(blobs.get("body", ())), np.concatenate([[0], np.cumsum(size[:, 0].astype(np.int64))]).tolist()
+        return key, doc, row, place, size[:, 1], [body[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, known = _parts(batches)
-        key, doc, row, place = (_join(asked.get(c), k) for c, k in (("key", np.uint64), ("doc", np.int64), ("row", np.int64), ("place", np.int32)))
-        size = _join(asked.get("size"), np.int32).reshape(-1, 2)
-        body, cut = b"".join(asked.get("body", ())), np.concatenate([[0], np.cumsum(size[:, 0].astype(np.int64))])
-        out: list[tuple[int, int, int]] = []
-        one: dict[tuple, int] = {}  # the different surroundings
-        which = np.empty(len(key), np.int64)
-        bodies: list[bytes] = []
-        for i, (k, a, b, left) in enumerate(zip(key.tolist(), cut[:-1].tolist(), cut[1:].tolist(), size[:, 1].tolist(), strict=True)):
-            x = body[a:b]
-            n = which[i] = one.setdefault((k, x, left), len(bodies))
-            if n == len(bodies):
-                bodies.append(x)
-        if bodies:
-            least = np.full(len(bodies), np.iinfo(np.int64).max)
-            np.minimum.at(least, which, doc)
-            keys, lefts = np.array([k for k, _, _ in one], np.uint64), np.array([a for _, _, a in one])
-            asked_for = np.flatnonzero(_related(keys, bodies, lefts))
-            runs: list[list[tuple[int, int]]] = [[] for _ in bodies]
-            for n, found in zip(asked_for.tolist(), repeated_windows([bodies[n] for n in asked_for], least[asked_for]), strict=True):
-                runs[n] = found
-            later = (doc > least[which]).tolist()
-            for i, (n, r, a) in enumerate(zip(which.tolist(), row.tolist(), place.tolist(), strict=True)):
-                for x, y in [(0, len(bodies[n]))] if later[i] else runs[n]:
-                    out.append((r, a + x, a + y))
-        for r, a, b in zip(*(x.tolist() for x in (_join(known.get("row"), np.int64), _join(known.get("place"), np.int32), _join(known.get("size"), np.int32))), strict=True):
-            out.append((r, a, b))
-        merged = list(_merged(*map(list, zip(*out, strict=True)))) if out else []
-        for at in range(0, len(merged), 50_000):
-            part = np.array(merged[at : at + 50_000], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1].astype(np.int32)), pa.array(part[:, 2].astype(np.int32))], names=["row", "start", "end"])
-
-    return around.mapInArrow(send, _SEEN).repartition(shards, "shard").mapInArrow(sort, "row long, start int, end int")
+        asked, known, apart = _parts(batches)
+        out = _sorted_runs(*entries(asked))
+        out += zip(*(_join(known.get(c), k).tolist() for c, k in (("row", np.int64), ("place", np.int32), ("size", np.int32))), strict=True)
+        names = [x.split()[0] for x in _RUNS.split(", ")]
+        for part in _run_batches(out):
+            none = [pa.nulls(part.num_rows, k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *none], names=names)
+        key, doc, row, place, left, bodies = entries(apart)
+        for at in range(0, len(key), 50_000):
+            own = slice(at, at + 50_000)
+            arrays = [row[own], place[own], np.zeros(len(key[own]), np.int32), key[own].view(np.int64), doc[own], left[own].copy()]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(bodies[own], pa.binary())], names=names)
+
+    return around.mapInArrow(send, _SEEN).repartition(shards, "shard").mapInArrow(sort, _RUNS)
+
+
+def _split(scratch: Scratch, entries: DataFrame, limit: int) -> list[DataFrame]:
+    """``(row, start, end)`` of repeated bytes in the surroundings of hot anchors; ``entries`` has the columns of _RUNS.
+
+    A window that holds the anchor has some number l of bytes in front of it, 0
+    to REACH. A node stands for the windows with l from ``lo`` to ``hi``: they
+    share ``lo`` bytes on the left and REACH - hi on the right. The
+    surroundings with these same bytes meet in it if two documents have them;
+    up to ``limit`` of them are sorted together, more are dealt to two nodes of
+    half as many l. With a single l the bytes are the window, and its least
+    document decides.
+    """
+    lo, hi, left = F.col("lo"), F.col("hi"), F.col("left")
+    base = entries.select("row", F.col("start").alias("place"), "key", "doc", "left", "body")
+    halves = lambda a, b: F.explode(F.array(*[F.struct(x.alias("lo"), y.alias("hi")) for x, y in ((a, F.floor((a + b) / 2).cast("int")), (F.floor((a + b) / 2).cast("int") + 1, b))]))
+    todo = base.select("*", halves(F.lit(0), F.lit(REACH)).alias("node")).select(*base.columns, "node.lo", "node.hi")
+    out, held = [], None
+    while True:
+        fits = (left >= lo) & (F.length("body") >= left + ANCHOR + REACH - hi)
+        part = F.substring("body", left - lo + 1, lo + ANCHOR + REACH - hi)
+        asks = scratch.save(todo.where(fits).select("*", F.md5(F.concat(F.hex("key"), F.lit(":"), lo.cast("string"), F.lit(":"), hi.cast("string"), F.lit(":"), F.hex(part))).alias("node")), "asks")
+        if held is not None:
+            scratch.drop(held)
+        nodes = asks.groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+        nodes = scratch.save(nodes.select("node", "n", F.col("n").alias("size"), "least"), "nodes")
+        held = scratch.save(hot_lookup(asks, nodes, "node", "n"), "held")
+        scratch.drop(asks, nodes)
+        run = lambda df: df.where("doc > least").select("row", (F.col("place") + left - lo).alias("start"), (F.col("place") + left - lo + SPAN).alias("end"))
+        out.append(scratch.save(run(held.where("lo = hi")).distinct(), "leaves"))
+        few = held.where((lo < hi) & (F.col("size") <= limit))
+        count = few.count()
+        if count:
+            shards = max(12, -(-count * (SPAN + REACH) // SORT_BYTES))
+            columns = ("node", "doc", "row", "place", "left", "body")
+
+            def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                table = pa.Table.from_batches(batches, schema=pa.schema([(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)]))
+                key = pc.dictionary_encode(table["node"]).combine_chunks().indices.to_numpy() if len(table) else np.empty(0, np.int64)
+                doc, row, place, left = (table[c].to_numpy() for c in columns[1:5])
+                yield from _run_batches(_sorted_runs(key, doc, row, place, left, table["body"].to_pylist()))
+
+            dealt = few.select(*columns).repartition(shards, "node")
+            out.append(scratch.save(dealt.mapInArrow(sort, "row long, start int, end int"), "runs"))
+        many = held.where((lo < hi) & (F.col("size") > limit))
+        if many.isEmpty():
+            scratch.drop(held)
+            return out
+        todo = many.select(*base.columns, halves(lo, hi).alias("node")).select(*base.columns, "node.lo", "node.hi")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -367,13 +463,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = scratch.save(marked.join(copies.hint("merge"), ["doc_id", "mark"], "left_anti").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "texts")
     total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     scratch.sweep()
-    found = scratch.save(_shared_anchors(texts.select("row", "text"), max(12, -(-total // TEXT_BYTES))), "anchors")
+    limit = max(HOT, total // HOT_SHARE)
+    found = scratch.save(_shared_anchors(texts.select("row", "text"), max(12, -(-total // TEXT_BYTES)), limit), "anchors")
     size = found.count() * (SPAN + REACH)
+    hot = np.sort(found.where("hot IS NOT NULL").select("hot").toArrow().column(0).to_numpy())
     scratch.sweep()
-    places = found.groupBy("row").agg(F.collect_list("place").alias("places"))
+    places = found.where("row IS NOT NULL").groupBy("row").agg(F.collect_list("place").alias("places"))
     around = texts.join(places.hint("shuffle_hash"), "row").select("row", "doc_id", "places", "text")
-    runs = scratch.save(_repeated(around, max(12, -(-size // SORT_BYTES))), "runs")
+    seen = scratch.save(_repeated(around, max(12, -(-size // SORT_BYTES)), hot), "runs")
     scratch.drop(found)
+    runs = seen.where("body IS NULL").select("row", "start", "end")
+    if len(hot):
+        runs = union_all([runs, *_split(scratch, seen.where("body IS NOT NULL"), limit)])
     by_row = runs.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     cut = _cut(texts.join(by_row.hint("shuffle_hash"), "row", "left").select("doc_id", "runs", "text"))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))

@@ -237,5 +237,28 @@ def test_suffix_dedup(spark, chunk, monkeypatch):
     assert counted(got) == counted(plain_repeats(rows))
 
 
+@pytest.mark.parametrize("most", [4, 60])
+def test_suffix_dedup_splits_a_hot_anchor(spark, most, monkeypatch):
+    """A phrase of all documents, other text around most of them: no task sorts more than a few of its surroundings."""
+    related = suffix_dedup._related
+
+    def bounded(keys, bodies, lefts):
+        _, sizes = np.unique(keys, return_counts=True)
+        assert not len(sizes) or sizes.max() <= most
+        return related(keys, bodies, lefts)
+
+    monkeypatch.setattr(suffix_dedup, "HOT", most, raising=False)
+    monkeypatch.setattr(suffix_dedup, "_related", bounded)
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    phrase, rows = "Licensed, with NO warranty, to 2024", []
+    heads, tails = [word(40) for _ in range(6)], [word(40) for _ in range(6)]
+    for i in range(400):
+        a, b = rng.choice([("", ""), (word(60), ""), (word(60), rng.choice(tails)), (rng.choice(heads), word(60)), (rng.choice(heads)[-9:], rng.choice(tails)[:9]), (word(60), word(60)), (word(60), word(60))])
+        rows.append((i // 2 * 3 % 397 if i % 50 == 0 else i, word(20) + a + phrase + b + word(20)))
+    got = suffix_dedup.op9_suffix_dedup(table(spark, rows).repartition(16)).collect()
+    assert counted(got) == counted(plain_repeats(rows))
+
+
 def test_suffix_dedup_of_an_empty_table(spark):
     assert suffix_dedup.op9_suffix_dedup(table(spark, [])).collect() == []
