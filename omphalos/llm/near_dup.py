@@ -29,7 +29,7 @@ BANDS, ROWS = 64, 6
 #: a fifth of its bytes differ, with a deviation of 1.4 % of all; five deviations
 #: are allowed, so a link fails the sketch with probability 3e-7.
 SKETCH, SLACK = 768, 5.0
-#: Comparisons of signatures that one block of an open bucket holds.
+#: Comparisons of signatures that one block of an open bucket holds; each of its two sides holds about the square root.
 BLOCK = 20_000_000
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -143,24 +143,31 @@ def _across(member: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components in a bucket that sizes and sketches allow.
 
     ``member`` is ``key, doc_id, component``. A bucket of n members with o of
-    them outside its largest component takes o * n comparisons; it is cut into
-    blocks of BLOCK of them, each with a share of the o, and only pairs that
-    pass leave a task.
+    them outside its largest component takes o * n comparisons. Both sides are
+    cut into chunks of about sqrt(BLOCK) rows, and each chunk of the o meets each
+    chunk of the n in a block of its own, so a task holds two chunks at a time,
+    and only pairs that pass leave it.
     """
     total, most = SKETCH, _slack(percent)
     by_part = member.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = by_part.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n")).where("n > top.c")
-    blocks = F.ceil((F.col("n") - F.col("top.c")) * F.col("n") / BLOCK).cast("int")
-    open_ = largest.select("key", F.col("top.component").alias("main"), blocks.alias("blocks"), "n")
+    side = int(BLOCK**0.5)
+    chunks = lambda n: F.ceil(n / side).cast("long")
+    open_ = largest.select("key", F.col("top.component").alias("main"), chunks(F.col("n") - F.col("top.c")).alias("outer"), chunks(F.col("n")).alias("inner"), "n")
     wide = hot_lookup(member, open_, "key", "n").join(cards.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    wide = wide.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "doc_id", "component", "n_shingles", "sketch", (F.col("component") != F.col("main")).alias("outside"), "blocks")
-    mine = F.col("outside") & (F.pmod(F.xxhash64("doc_id"), F.col("blocks")) == F.col("block"))
-    wide = wide.select("key", "block", "doc_id", "component", "n_shingles", "sketch", mine.alias("mine"))
-
-    def near(doc, part, size, sketch, mine) -> tuple[np.ndarray, np.ndarray]:
+    mark, inner, outer, block = F.xxhash64("doc_id"), F.col("inner"), F.col("outer"), F.col("block")
+    wide = wide.withColumns({"outside": F.col("component") != F.col("main"), "i": F.pmod(mark, outer), "j": F.pmod(mark, inner)})
+    # block i * inner + j is where chunk i of the outsiders meets chunk j of all members
+    as_member = F.transform(F.sequence(F.lit(0).cast("long"), outer - 1), lambda i: i * inner + F.col("j"))
+    as_outsider = F.transform(F.sequence(F.lit(0).cast("long"), inner - 1), lambda j: F.col("i") * inner + j)
+    wide = wide.withColumn("block", F.explode(F.when(F.col("outside"), F.array_union(as_member, as_outsider)).otherwise(as_member)))
+    mine, other = F.col("outside") & (F.floor(block / inner) == F.col("i")), block % inner == F.col("j")
+    wide = wide.select("key", "block", "doc_id", "component", "n_shingles", "sketch", mine.alias("mine"), other.alias("other"))
+
+    def near(doc, part, size, sketch, mine, other) -> tuple[np.ndarray, np.ndarray]:
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in np.flatnonzero(mine):
-            can = np.flatnonzero((part != part[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+            can = np.flatnonzero(other & (part != part[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
             can = can[(sketch[can] != sketch[i]).sum(axis=1) <= most]
             a.append(np.minimum(doc[can], doc[i]))
             b.append(np.maximum(doc[can], doc[i]))
@@ -185,7 +192,7 @@ def _across(member: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "doc_id", "component", "n_shingles")]
             columns.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, total))
-            columns.append(batch.column("mine").to_numpy(zero_copy_only=False))
+            columns += [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mine", "other")]
             held = ended(columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)], False)
             if sum(len(x) for x, _ in found) > 100_000:
                 yield pairs()

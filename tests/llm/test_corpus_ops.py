@@ -125,6 +125,24 @@ def test_open_buckets_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_groups(rows)
 
 
+@pytest.mark.parametrize("outsiders", [1, 150])
+def test_blocks_of_an_open_bucket_hold_few_rows(spark, outsiders, monkeypatch):
+    """A block holds a chunk of either side, however many members the bucket has."""
+    monkeypatch.setattr(near_dup, "BLOCK", 400)  # 20 rows a side
+    frame = type(spark.range(0))
+    dealt, keep = [], frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *a: dealt.append(self) or keep(self, *a))
+    rng, n = np.random.default_rng(3), 600
+    sketches = rng.integers(0, 256, (n, near_dup.SKETCH), np.uint8)
+    sketches[1::2] = sketches[::2]  # each odd row is near the one before
+    cards = spark.createDataFrame([(i, 50, sketches[i].tobytes()) for i in range(n)], "doc_id long, n_shingles long, sketch binary")
+    component = [i if i < outsiders else 10_000 for i in range(n)]
+    member = spark.createDataFrame([(7, i, component[i]) for i in range(n)], "key long, doc_id long, component long")
+    got = near_dup._across(member, cards, 80).collect()
+    assert sorted(map(tuple, got)) == [(i, i + 1) for i in range(0, n, 2) if component[i] != component[i + 1]]
+    assert dealt[0].groupBy("key", "block").count().agg(F.max("count")).first()[0] <= 100
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = near_dup.op7_minhash_near_dedup(table(spark)).collect()
     assert len(got) == len(AWKWARD)
