@@ -42,9 +42,12 @@ CLASSES = (
     CharClass("base64", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 20, 3.9),
 )
 
+#: What looks like a word or a name: letters in one case or capitalised, fewer than any window holds, and humps of three or more.
+_WORD = r"(?:[A-Z]?[a-z]{1,18}(?:[A-Z][a-z]{2,13})*|[A-Z]{1,19}|(?:[A-Z][a-z]{2,13})+)"
+
 #: Strings (whole candidates, either case) that are known not to be secrets.
 ALLOWED = (
-    r"[A-Za-z]+(?:[-_/=][A-Za-z]+)*",  # words joined by signs
+    rf"(?-i:{_WORD}(?:[-_/=]{_WORD})*)",  # words joined by signs
     r"[-_=+/]+",  # rules of signs
     r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",  # identifiers of records
     r".*(?:example|sample|dummy|placeholder|xxxx).*",

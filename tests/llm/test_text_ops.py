@@ -138,6 +138,17 @@ def test_entropy_spans():
     assert secret_scan.entropy_spans("aGk3Zx9QwLm2Rt7Vb5example8Nd1Ks4") == []  # allow-listed
 
 
+@pytest.mark.parametrize("secret", ["muthqcdpurwohsibalojmgbflm", "QMNICUDXUKMYSIVKEFZXHPGJDB", "yzYVqPgVRBdOBjbfqWNhbDUYpwxIKcIhbCL"])
+def test_random_letters_are_no_words(secret):
+    """Letters alone, in lower case, upper case and mixed, with the entropy that their class asks for."""
+    assert secret_scan.entropy_spans(f"see {secret} here") == [("entropy", 4, 4 + len(secret))]
+
+
+def test_words_are_no_secrets():
+    for words in ("the-quick-brown-fox-jumps-over-the-lazy-dog", "THE_QUICK_BROWN_FOX_JUMPS", "src/main/java/TheQuickBrownFox/JumpsOver", "getQuickBrownFoxJumpsOver"):
+        assert secret_scan.entropy_spans(words) == []
+
+
 @given(st.text("abcd", min_size=1, max_size=40), st.integers(1, 8), st.floats(0, 3))
 def test_sliding_entropy_is_the_plain_one(s, width, bits):
     from math import log2
