@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from omphalos.llm.common import Scratch, hot_lookup
+from omphalos.llm.common import Scratch, hot_lookup, let
 from omphalos.llm.components import connected_components
 
 
@@ -34,10 +34,15 @@ RULES = (
     UrlRule("com", "/de/", "block"),
 )
 
-#: Addresses that a page names: a refresh that leads on, or its canonical form.
+#: Whole tags that can name an address (a refresh that leads on, or the canonical form), and the attributes of a tag.
+TAG = r"""(?i)<(?:meta|link)\b(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
+ATTRIBUTE = r"""[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+#: The common forms only, in one pattern each, as the registered SQL states them.
 REFRESH = r"""(?i)<meta\b[^>]{0,200}\bhttp-equiv\s*=\s*["']?refresh["']?[^>]{0,200}\burl\s*=\s*["']?([^"'>\x00-\x20]+)"""
 CANONICAL = r"""(?i)<link\b[^>]{0,200}\brel\s*=\s*["']?canonical["']?[^>]{0,200}\bhref\s*=\s*["']?([^"'>\x00-\x20]+)"""
 CANONICAL_LAST = r"""(?i)<link\b[^>]{0,200}\bhref\s*=\s*["']?([^"'>\x00-\x20]+)["']?[^>]{0,200}\brel\s*=\s*["']?canonical\b"""
+#: What comes before the target in the content of a refresh.
+DELAY = r"""(?i)\A\s*+(?:[0-9.]++\s*+(?:[;,]\s*+|(?<=\s))(?:url\s*+=\s*+)?|url\s*+=\s*+)"""
 
 
 def _after_scheme(url: Column) -> Column:
@@ -66,21 +71,65 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> t
     return name, verdict
 
 
-def _address(url: Column) -> Column:
-    """Node of an absolute address: host, path and query; null for others."""
+def _address(url: Column, path: Column | None = None) -> Column:
+    """Node of an absolute address: host, path (``path`` if given) and query; null for others."""
     query = F.regexp_extract(_after_scheme(url), r"(?s)\A[^?#]*(\?[^#]*)", 1)
-    return F.when(url_host(url) != "", F.concat(url_host(url), F.when(url_path(url) == "", F.lit("/")).otherwise(url_path(url)), query))
+    path = url_path(url) if path is None else path
+    return F.when(url_host(url) != "", F.concat(url_host(url), F.when(path == "", F.lit("/")).otherwise(path), query))
+
+
+def _without_dots(path: Column) -> Column:
+    """``path`` with ``.`` and ``..`` segments resolved."""
+    start = F.array().cast("array<string>")
+    kept = lambda out, s: F.when(s == ".", out).when(s == "..", F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(1)))).otherwise(F.concat(out, F.array(s)))
+    whole = F.aggregate(F.split(F.regexp_replace(path, r"/\.{1,2}\z", "$0/"), "/", -1), start, kept)
+    return F.when(path.rlike(r"/\.{1,2}(?:/|\z)"), F.array_join(whole, "/")).otherwise(path)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute form of ``target`` on the page ``url``; a page without a host resolves absolute targets only."""
+    home, path = F.concat(F.lit("http://"), url_host(url)), F.when(url_path(url) == "", F.lit("/")).otherwise(url_path(url))
+    query = F.regexp_extract(_after_scheme(url), r"(?s)\A[^?#]*(\?[^#]*)", 1)
+    return (
+        F.when(target.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(url_host(url) == "", F.lit(None))
+        .when(target.startswith("/"), F.concat(home, target))
+        .when(target.startswith("?"), F.concat(home, path, target))
+        .when(target.startswith("#"), F.concat(home, path, query, target))
+        .otherwise(F.concat(home, F.regexp_extract(path, r"(?s)\A.*/", 0), target))
+    )
+
+
+def _named(tag: Column) -> Column:
+    """The address that a tag names, as it is written there; null for none. Attributes come in any order and length."""
+
+    def read(attributes: Column) -> Column:
+        def value(name: str) -> Column:
+            first = F.get(F.filter(attributes, lambda x: x.rlike(rf"(?i)\A{name}\s*=")), F.lit(0))
+            return F.regexp_extract(first, r"""(?s)\A[^=]*=\s*(["']?)(.*?)\1\z""", 2)
+
+        after = F.when(value("content").rlike(DELAY), F.regexp_replace(value("content"), DELAY, ""))
+        target = F.coalesce(*[F.nullif(F.regexp_extract(after, p, 1), F.lit("")) for p in (r"""(?s)\A"([^"\x00-\x20]+)""", r"""(?s)\A'([^'\x00-\x20]+)""", r"""\A([^"'\x00-\x20][^\x00-\x20]*)""")])
+        refresh = F.when(F.lower(F.trim(value("http-equiv"))) == "refresh", target)
+        canonical = F.when(value("rel").rlike(r"(?i)(?:\A|\s)canonical(?:\s|\z)"), F.regexp_extract(value("href"), r"\A\s*([^\x00-\x20]+)", 1))
+        return F.when(tag.rlike(r"(?i)\A<meta"), refresh).otherwise(canonical)
+
+    return F.regexp_replace(let(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), read), r"(?i)&(?:amp|#0*38|#x0*26);", "&")
 
 
 def url_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(here, there)`` addresses of every redirect and canonical link; root-relative targets keep the page's host."""
+    """``(here, there)`` addresses of every redirect and canonical link; relative targets are resolved against the page's url.
+
+    ``&amp;`` is read as ``&``, other entities as they stand; a ``base`` tag isn't read.
+    """
     body = F.col(html)
-    named = F.array(*[F.regexp_extract(body, p, 1) for p in (REFRESH, CANONICAL, CANONICAL_LAST)])
-    marked = F.when(body.rlike("(?i)canonical|http-equiv"), named)  # a quick look before the patterns
-    links = pages.where(F.col(url).isNotNull()).select(F.col(url).alias("url"), F.explode(marked).alias("to")).where("to <> ''")
-    to = F.col("to")
-    full = F.when(to.startswith("//"), F.concat(F.lit("http:"), to)).when(to.startswith("/"), F.concat(F.lit("http://"), url_host(F.col("url")), to)).otherwise(to)
-    return links.select(_address(F.col("url")).alias("here"), _address(full).alias("there")).where("here <> there").distinct()
+    tags = F.filter(F.regexp_extract_all(body, F.lit(TAG), F.lit(0)), lambda x: x.rlike("(?i)canonical|http-equiv"))
+    marked = F.when(body.rlike("(?i)canonical|http-equiv"), tags)  # a quick look before the patterns
+    links = pages.where(F.col(url).isNotNull()).select(F.col(url).alias("url"), F.explode(marked).alias("tag"))
+    full = links.select("url", _named(F.col("tag")).alias("to")).where("to <> ''").select("url", resolved(F.col("to"), F.col("url")).alias("full"))
+    there = _address(F.col("full"), _without_dots(url_path(F.col("full"))))
+    return full.select(_address(F.col("url")).alias("here"), there.alias("there")).where("here <> there").distinct()
 
 
 def filter_urls(pages: DataFrame, url: str = "url", html: str = "html", rules: tuple[UrlRule, ...] = RULES) -> DataFrame:

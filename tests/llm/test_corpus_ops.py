@@ -183,6 +183,28 @@ def test_url_rules_and_links(spark):
     assert url_filter.op8_url_filters(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "html, there",
+    [
+        ('<meta content="0; url=http://a.com/de/1" http-equiv="refresh">', "a.com/de/1"),
+        ("<META data-x='%s' Content = '5;URL=\"/q?x=1&amp;y=2\"' HTTP-EQUIV=Refresh />" % ("z>" * 300), "b.net/q?x=1&y=2"),
+        ("<meta http-equiv=refresh content=3;url=next>", "b.net/dir/next"),
+        ('<meta http-equiv="refresh" content="0; ../up/./x/..">', "b.net/up/"),
+        ('<link title="%s" rel="canonical" data-y="%s" href="?x=1&amp;y=2#top">' % ("t" * 900, "y" * 900), "b.net/dir/page?x=1&y=2"),
+        ('<link href="other/it\'s" hreflang=de rel="alternate canonical">', "b.net/dir/other/it's"),
+        ("<link rel=canonical href=//C.net?u=http://d.net/>", "c.net/?u=http://d.net/"),
+        ('<link rel="canonical" href="?u=http://d.net/">', "b.net/dir/page?u=http://d.net/"),
+        ('<link rel="canonical" href="#here"><link rel="stylesheet" href="/canonical.css">', None),
+        ('<meta name="x" content="http-equiv=refresh; url=/q"><link rel=canonical href="mailto:x@y.z">', None),
+        ('<meta http-equiv="refresh" content="30">', None),
+    ],
+)
+def test_url_edges_of_any_tag(spark, html, there):
+    """Attributes in any order and length, relative targets and written ampersands."""
+    df = spark.createDataFrame([("http://b.net/dir/page?a=1", "<p>" + html + "<p>")], "url string, html string")
+    assert [tuple(r) for r in url_filter.url_edges(df).collect()] == ([("b.net/dir/page?a=1", there)] if there else [])
+
+
 # ------------------------------------------------------------- suffix dedup (9)
 def plain_order(t):
     ends = [i for i, c in enumerate(t) if c == suffix_sort.SEPARATOR]
