@@ -37,6 +37,11 @@ LOOSE = {
 #: A text without these characters can't match, and isn't scanned for the pattern.
 NEEDS = {"email": "@", "phone": "+"}
 
+#: Signs of a spelt-out address that e-mails are rewritten with for training, and what looks as little
+#: like one: two words and the begin of the next sentence, or a word and a number with a dot.
+SPELT = ((" [at] ", " [dot] "), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."))
+NO_ADDRESS = r"(?<![A-Za-z0-9._%+-])[A-Za-z]++\x20[A-Za-z0-9]++\.\x20?[A-Z0-9][A-Za-z0-9]*+"
+
 #: Documents of the training sample, boosting rounds, learning rate, precision asked of the threshold.
 SAMPLE, ROUNDS, SHRINK, PRECISION = 20_000, 24, 0.3, 0.95
 #: Code points of context before and behind a candidate.
@@ -121,6 +126,36 @@ def base_spans(text: Column) -> Column:
     return F.concat(*each)
 
 
+def _candidate(text: Column, kind: str, x: Column, s: Column) -> Column:
+    """The candidate ``s`` in the place and the context of the span ``x``."""
+    return F.struct(
+        F.lit(kind).alias("kind"), x["a"].alias("a"), x["b"].alias("b"), s.alias("s"),
+        F.lower(F.substring(text, F.greatest(x["a"] - BEFORE, F.lit(0)) + 1, F.least(x["a"], F.lit(BEFORE)))).alias("before"),
+        F.substring(text, x["b"] + 1, F.lit(BEHIND)).alias("behind"),
+    )
+
+
+def spelt_out(text: Column, mark: Column) -> tuple[Column, Column]:
+    """Candidates of the address generator with known labels: e-mails of the fixed pattern, and what is none, both rewritten.
+
+    ``mark`` chooses the signs, so they don't tell which is which.
+    """
+    n = F.pmod(mark, F.lit(len(SPELT))).cast("int") + 1
+    at, dot = (F.element_at(F.array(*[F.lit(x[k]) for x in SPELT]), n) for k in (0, 1))
+    fits = lambda c: c["s"].rlike(rf"\A{LOOSE['address']}\z")
+
+    def rewritten(x: Column) -> Column:
+        return F.concat(F.substring_index(x["s"], "@", 1), at, F.replace(F.substring_index(x["s"], "@", -1), F.lit("."), dot))
+
+    def joined(x: Column) -> Column:
+        host = F.regexp_replace(F.regexp_extract(x["s"], r"\x20(.*)", 1), r"\x20", "")
+        return F.concat(F.substring_index(x["s"], " ", 1), at, F.replace(host, F.lit("."), dot))
+
+    yes = F.transform(match_spans(text, STRICT["email"], NEEDS["email"]), lambda x: _candidate(text, "address", x, rewritten(x)))
+    no = F.transform(match_spans(text, NO_ADDRESS), lambda x: _candidate(text, "address", x, joined(x)))
+    return F.filter(yes, fits), F.filter(no, fits)
+
+
 def loose_candidates(text: Column) -> Column:
     """``array<struct<kind, a, b, s, before, behind>>`` of the loose generators."""
     each = []
@@ -129,11 +164,7 @@ def loose_candidates(text: Column) -> Column:
         each.append(
             F.transform(
                 found,
-                lambda x: F.struct(
-                    F.lit(kind).alias("kind"), x["a"].alias("a"), x["b"].alias("b"), x["s"].alias("s"),
-                    F.lower(F.substring(text, F.greatest(x["a"] - BEFORE, F.lit(0)) + 1, F.least(x["a"], F.lit(BEFORE)))).alias("before"),
-                    F.substring(text, x["b"] + 1, F.lit(BEHIND)).alias("behind"),
-                ),
+                lambda x: _candidate(text, kind, x, x["s"]),
             )
         )
     return F.concat(*each)
@@ -169,6 +200,7 @@ def features(c: Column) -> list[Column]:
         before.rlike(r"(?:card|visa|karte|carte|tarjeta|konto|account|iban)[a-z]*[.:]?\x20*\z"),
         before.rlike(r"[a-z0-9_=\"'./-]\z"),
         behind.rlike(r"\A[A-Za-z0-9_\"'=/-]"),
+        s.rlike(r"(?:[.\x20\])])[a-z]{2,24}\z"),
     ]
 
 
@@ -188,6 +220,8 @@ class Model(NamedTuple):
     bias: float
     trees: tuple[Tree, ...]
     threshold: float
+    #: The model of spelt-out addresses, whose labels come from elsewhere and whose threshold is its own.
+    address: Model | None = None
 
     def score(self, mask: int) -> float:
         return self.bias + sum(t.value(mask) for t in self.trees)
@@ -273,7 +307,10 @@ def _touches(c: Column, spans: Column) -> Column:
 def train_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """Trees fitted to the loose candidates of about ``sample`` documents, chosen by the hash of their id.
 
-    A candidate is positive where it touches a valid span of a fixed pattern.
+    A number is positive where it touches a valid span of a fixed pattern. A
+    spelt-out address never does, so addresses have a model of their own, from
+    e-mails and other text rewritten to the spelt-out form; those that the
+    documents hold have no label and aren't trained on.
     What comes to the driver are counts by feature mask, fold and label.
     """
     total = docs.count()
@@ -283,12 +320,19 @@ def train_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sam
     mark = F.xxhash64(F.col(doc_id).cast("string"), F.lit("pii"))
     body = F.coalesce(F.col(text), F.lit(""))
     chosen = docs.where(F.pmod(mark, F.lit(1 << 20)) < rate).select(mark.alias("mark"), body.alias("text"))
-    found = chosen.select("mark", base_spans(F.col("text")).alias("base"), F.explode(loose_candidates(F.col("text"))).alias("c"))
+    yes, no = spelt_out(F.col("text"), F.col("mark"))
+    label = lambda cs, of: F.transform(cs, lambda c: F.struct(c.alias("c"), of(c).cast("int").alias("label")))
+    numbers = F.filter(loose_candidates(F.col("text")), lambda c: c["kind"] != "address")
+    with_base = chosen.select("mark", "text", base_spans(F.col("text")).alias("base"))
+    each = F.concat(label(numbers, lambda c: _touches(c, F.col("base"))), label(yes, lambda c: F.lit(1)), label(no, lambda c: F.lit(0)))
+    found = with_base.select("mark", F.explode(each).alias("x")).select("mark", "x.c", "x.label")
     asked = features(F.col("c"))
     bits = sum((F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(asked)), F.lit(0))
-    label = _touches(F.col("c"), F.col("base")).cast("int")
-    table = found.select(bits.alias("mask"), (F.pmod(F.shiftright("mark", 20), F.lit(4)) > 0).cast("int").alias("fold"), label.alias("label")).groupBy("mask", "fold", "label").count()
-    return boost([tuple(r) for r in table.orderBy(F.desc("count"), "mask", "fold", "label").limit(100_000).collect()], len(asked))
+    fold = (F.pmod(F.shiftright("mark", 20), F.lit(4)) > 0).cast("int")
+    table = found.select(bits.alias("mask"), fold.alias("fold"), "label").groupBy("mask", "fold", "label").count()
+    rows = [tuple(r) for r in table.orderBy(F.desc("count"), "mask", "fold", "label").limit(100_000).collect()]
+    model, address = (boost([r for r in rows if r[0] & 1 == k], len(asked)) for k in (0, 1))  # feature 0 is the kind
+    return model._replace(address=address)
 
 
 def find_pii(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -300,10 +344,12 @@ def find_pii(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     plain = docs.drop("base", "added")
     body = F.coalesce(F.col(text), F.lit(""))
     first = plain.select("*", base_spans(body).alias("base"))
-    if model.threshold == float("inf"):
+    models = [m for m in (model, model.address) if m is not None and m.threshold < float("inf")]
+    if not models:
         return first.withColumn("added", F.array().cast("array<struct<kind:string,a:int,b:int>>"))
     second = first.select("*", F.filter(loose_candidates(body), lambda c: ~_touches(c, F.col("base"))).alias("__loose"))
-    good = F.filter("__loose", lambda c: let(F.array(*features(c)), lambda asked: model_score(model, asked)) >= F.lit(model.threshold))
+    passes = lambda m, asked: model_score(m, asked) >= F.lit(m.threshold) if m in models else F.lit(False)
+    good = F.filter("__loose", lambda c: let(F.array(*features(c)), lambda asked: F.when(F.get(asked, F.lit(0)), passes(model.address, asked)).otherwise(passes(model, asked))))
     named = F.transform(F.sort_array(F.transform(good, lambda c: F.struct(c["a"].alias("a"), c["b"].alias("b")))), lambda c: F.struct(F.lit(OTHER).alias("kind"), c["a"].alias("a"), c["b"].alias("b")))
     return second.select(*plain.columns, "base", named.alias("added"))
 

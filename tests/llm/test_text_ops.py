@@ -258,6 +258,17 @@ def test_boosted_trees_learn_and_match_their_expression(spark):
     assert pii.boost([(1, 1, 1, 5)], 3) == pii.NO_MODEL
 
 
+def test_spelt_out_addresses_are_added(spark):
+    """Addresses with written signs, though no fixed pattern ever touches one."""
+    rows = [(i, f"We wrote to {words[i % 3]}{i}@mail{i % 7}.example.{['org', 'com'][i % 2]} about it. Then prices rose 3.{i} percent.") for i in range(600) for words in [("ann", "bo.li", "c_d")]]
+    spelt = "name.two [at] host [dot] org"
+    rows += [(1000, f"Please ask {spelt} soon."), (1001, "They met me (at) 12.30 and left."), (1002, "Mail kim(at)host.example.net now")]
+    got = {r.doc_id: r.spans for r in pii.op6_pii(table(spark, rows)).collect()}
+    assert got[1000] == f"other:11:{11 + len(spelt)}"
+    assert got[1001] == ""
+    assert got[1002] == "other:5:28"
+
+
 def test_pii_uses_no_python(spark):
     plan = pii.find_pii(table(spark), pii.NO_MODEL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
