@@ -175,12 +175,12 @@ SELECT doc_id, CAST(strlen(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM d LEFT JOIN total USING (rid) LEFT JOIN kept USING (rid)"""
 
 
-_OP12_SQL = f"""WITH r AS (SELECT conv_id, turn, role, text FROM conversations
+_OP12_SQL = rf"""WITH r AS (SELECT conv_id, turn, role, text FROM conversations
   UNION ALL SELECT {chat_format.PROBE_ID}, 0, 'user', '{chat_format.PROBE_TEXT}' UNION ALL SELECT {chat_format.PROBE_ID}, 1, 'assistant', '{chat_format.PROBE_TEXT}'),
 t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
              coalesce(role, '') AS role, coalesce(text, '') AS text FROM r),
-e AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS shown,
-             replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|nl|>') AS head FROM t)
+e AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\\\1|', 'g') AS shown,
+             replace(regexp_replace(role, '<(\\*)\|', '<\\\\\1|', 'g'), chr(10), '<|nl|>') AS head FROM t)
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
