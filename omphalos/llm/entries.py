@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from omphalos.llm import bpe, chat_format, decontam, language, near_dup, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from omphalos.llm import bpe, chat_format, decontam, language, merkle, near_dup, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from omphalos.llm.common import table
 
 #: The tokenizer of the production queries.
@@ -55,9 +55,13 @@ def op12_chat_formatting(spark, sf_dir):
     return chat_format.op12_chat_formatting(table(spark, sf_dir, "conversations"))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.op13_merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op9_suffix_dedup, op10_bpe_encode, op12_chat_formatting)
+    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op9_suffix_dedup, op10_bpe_encode, op12_chat_formatting, op13_merkle_manifest)
 }
 
 
