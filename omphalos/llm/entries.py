@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from omphalos.llm import bpe, chat_format, decontam, language, merkle, near_dup, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from omphalos.llm import bpe, chat_format, decontam, divergence, language, merkle, near_dup, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from omphalos.llm.common import table
 
 #: The tokenizer of the production queries.
@@ -51,6 +51,10 @@ def op10_bpe_encode(spark, sf_dir):
     return bpe.op10_bpe_encode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.op11_source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_chat_formatting(spark, sf_dir):
     return chat_format.op12_chat_formatting(table(spark, sf_dir, "conversations"))
 
@@ -61,7 +65,7 @@ def op13_merkle_manifest(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op9_suffix_dedup, op10_bpe_encode, op12_chat_formatting, op13_merkle_manifest)
+    for f in (op1_quality_rules, op2_token_counts, op3_secret_scans, op4_language_id, op5_benchmark_decontamination, op6_pii, op7_minhash_near_dedup, op8_url_filters, op9_suffix_dedup, op10_bpe_encode, op11_source_divergence, op12_chat_formatting, op13_merkle_manifest)
 }
 
 
@@ -179,6 +183,27 @@ SELECT doc_id, CAST(strlen(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM d LEFT JOIN total USING (rid) LEFT JOIN kept USING (rid)"""
 
 
+_OP11_SQL = f"""WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x{{00}}-\\x{{40}}\\x{{5B}}-\\x{{60}}\\x{{7B}}-\\x{{7F}}]+') AS ts FROM documents),
+w AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.LEAST_DOCS}),
+own AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN own USING (lang, source) GROUP BY ALL),
+ln AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(own.n, 0) AS n,
+             1 + ({divergence.UNIT}::HUGEINT * (coalesce(own.n, 0) + {divergence.PRIOR})) // (gn.total + {divergence.PRIOR} * ln.v) AS p,
+             1 + ({divergence.UNIT}::HUGEINT * (k.n + {divergence.PRIOR})) // (ln.total + {divergence.PRIOR} * ln.v) AS q
+      FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = k.term
+      JOIN gn ON gn.lang = g.lang AND gn.source = g.source JOIN ln ON ln.lang = g.lang),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pr AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(far.value, 0) AS value
+       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+tr AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (SELECT * FROM pr UNION ALL SELECT * FROM tr))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= {divergence.LISTED}"""
+
+
 _OP12_SQL = rf"""WITH r AS (SELECT conv_id, turn, role, text FROM conversations
   UNION ALL SELECT {chat_format.PROBE_ID}, 0, 'user', '{chat_format.PROBE_TEXT}' UNION ALL SELECT {chat_format.PROBE_ID}, 1, 'assistant', '{chat_format.PROBE_TEXT}'),
 t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
@@ -198,5 +223,6 @@ ORACLE_SQL = {
     "op7_minhash_near_dedup": _OP7_SQL,
     "op8_url_filters": _op8_sql(),
     "op9_suffix_dedup": _OP9_SQL,
+    "op11_source_divergence": _OP11_SQL,
     "op12_chat_formatting": _OP12_SQL,
 }
