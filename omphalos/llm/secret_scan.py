@@ -35,7 +35,6 @@ class CharClass(NamedTuple):
 
 #: From the narrowest class to the widest; a candidate is scanned as the first that holds all of it.
 CLASSES = (
-    CharClass("digits", frozenset("0123456789"), 20, 9.9),  # plain numbers are never secrets
     CharClass("hex", frozenset("0123456789abcdefABCDEF"), 20, 3.0),
     CharClass("lower", frozenset("abcdefghijklmnopqrstuvwxyz"), 24, 4.15),
     CharClass("upper", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 24, 4.15),
@@ -43,15 +42,18 @@ CLASSES = (
 )
 
 #: What looks like a word or a name: letters in one case or capitalised, fewer than any window holds, and humps of three or more.
-_WORD = r"(?:[A-Z]?[a-z]{1,18}(?:[A-Z][a-z]{2,13})*|[A-Z]{1,19}|(?:[A-Z][a-z]{2,13})+)"
+#: A part fits in one way only, so a candidate of many parts is decided in one pass.
+_WORD = r"(?:[A-Z]?[a-z]{1,18}(?:[A-Z][a-z]{2,13})*|[A-Z]{1,19})"
 
-#: Strings (whole candidates, either case) that are known not to be secrets.
+#: Strings (either case) that are known not to be secrets: whole candidates, or what lies between marks.
 ALLOWED = (
     rf"(?-i:{_WORD}(?:[-_/=]{_WORD})*)",  # words joined by signs
+    r"[0-9]+",  # plain numbers
     r"[-_=+/]+",  # rules of signs
     r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",  # identifiers of records
-    r".*(?:example|sample|dummy|placeholder|xxxx).*",
 )
+#: Words (either case) that mark made-up values: no window that meets one is counted.
+MARKS = r"example|sample|dummy|placeholder|xxxx"
 
 
 def entropy_runs(s: str, width: int, bits: float) -> list[tuple[int, int]]:
@@ -100,18 +102,28 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", m.start(), m.end()) for m in HEX_RUN.finditer(text)]
 
 
-def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> list[tuple[str, int, int]]:
-    """Spans that the entropy scan adds; allow-listed candidates give none."""
+def _between(pattern: re.Pattern | None, s: str) -> Iterator[tuple[int, str]]:
+    """What lies before, between and after the matches, with its place."""
+    at = 0
+    for m in pattern.finditer(s) if pattern else ():
+        yield at, s[at : m.start()]
+        at = m.end()
+    yield at, s[at:]
+
+
+def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED, marks: str = MARKS) -> list[tuple[str, int, int]]:
+    """Spans that the entropy scan adds; allow-listed candidates give none, nor do windows that meet a mark."""
     allow = re.compile("|".join(f"(?:{a})" for a in allowed), re.I) if allowed else None
+    mark = re.compile(marks, re.I) if marks else None
     out = []
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if allow and allow.fullmatch(s):
-            continue
-        chars = set(s)
-        kind = next((c for c in classes if c.chars >= chars), None)
-        if kind:
-            out += [("entropy", m.start() + a, m.start() + b) for a, b in entropy_runs(s, kind.width, kind.bits)]
+        for at, s in _between(mark, m[0]):
+            if not s or allow and allow.fullmatch(s):
+                continue
+            chars = set(s)
+            kind = next((c for c in classes if c.chars >= chars), None)
+            if kind:
+                out += [("entropy", m.start() + at + a, m.start() + at + b) for a, b in entropy_runs(s, kind.width, kind.bits)]
     return out
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -144,6 +145,19 @@ def test_random_letters_are_no_words(secret):
     assert secret_scan.entropy_spans(f"see {secret} here") == [("entropy", 4, 4 + len(secret))]
 
 
+def test_a_long_slug_is_decided_in_one_pass():
+    began = time.perf_counter()
+    assert secret_scan.entropy_spans("-".join(["Quick"] * 10_000) + "-9") == []
+    assert time.perf_counter() - began < 2
+
+
+def test_only_windows_that_meet_a_mark_are_spared():
+    key = "aGk3Zx9QwLm2Rt7Vb5Yc8Nd1Ks4Jf6h"
+    assert secret_scan.entropy_spans(f"my-sample-{key}") == [("entropy", 9, 10 + len(key))]
+    assert secret_scan.entropy_spans(f"{key}xxxx{key}") == [("entropy", 0, len(key)), ("entropy", len(key) + 4, 2 * len(key) + 4)]
+    assert secret_scan.entropy_spans("31415926535897932384626433832795028841971") == []
+
+
 def test_words_are_no_secrets():
     for words in ("the-quick-brown-fox-jumps-over-the-lazy-dog", "THE_QUICK_BROWN_FOX_JUMPS", "src/main/java/TheQuickBrownFox/JumpsOver", "getQuickBrownFoxJumpsOver"):
         assert secret_scan.entropy_spans(words) == []
