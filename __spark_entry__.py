@@ -42,7 +42,8 @@ def _optional(module: str):
 
 
 #: The corpus operators come as a folder and a file that may be absent.
-CORPUS, PIPELINE = _optional("omphalos.llm.entries"), _optional("corpus_pipeline")
+CORPUS = _optional("omphalos.llm.entries")
+PIPELINE = _optional("corpus_pipeline") if CORPUS else None
 
 SF_SMOKE = "/root/testdata/sf0.001"
 M, DEG, RATIO = 3, 9, 6

@@ -2,12 +2,18 @@
 DuckDB oracle on the sf0.01 tables (scripts/check_oracle.py runs the corpus
 queries' SQL too)."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 
-from .conftest import SF
+from .conftest import ROOT, SF
 
 TABLES = ["customer", "orders", "events", "part", "lineitem", "embeddings"]
 CORE = sorted(set(E.oracle_sql()) - set(E.CORPUS.QUERIES if E.CORPUS else ()) - {"pipeline"})
@@ -20,6 +26,16 @@ def test_entry_smoke(spark):
     assert len(rows) == 5
 
 
+def test_entry_without_the_corpus_operators(tmp_path):
+    """A copy without their folder (the pipeline file may stay) still imports and registers every core query."""
+    away = shutil.ignore_patterns(".git", "llm", "__pycache__")
+    copy = Path(shutil.copytree(ROOT, tmp_path / "copy", ignore=away))
+    assert not (copy / "omphalos" / "llm").exists()
+    code = "import __spark_entry__ as E; assert E.CORPUS is E.PIPELINE is None; print(sorted(E.queries()) == sorted(E.oracle_sql()), len(E.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""}, timeout=300)
+    assert done.stdout.split() == ["True", str(len(CORE))], done.stderr
+
+
 def test_every_query_has_an_oracle():
     corpus = {*E.CORPUS.QUERIES, "pipeline"} if E.CORPUS else set()
     assert set(E.queries()) - corpus == set(E.oracle_sql()) - corpus
