@@ -10,15 +10,15 @@ layout: group ``ownership``, id ``center_id``, ``utm_x/utm_y`` metres and
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import (
     FAR_FROM_MEDIAN_M, METRICS, metres_to_km, naive_degrees_to_metres, percent_error,
 )
 from ..operators.attach import Small
+from ..operators.centroid import centre_bounds, within
 from ..operators.guards import usable_point
 from ..operators.medoid import medoid
 from ..operators.stats import agreement, group_median, share_beyond
@@ -43,33 +43,24 @@ class Layout:
 DEFAULT = Layout()
 
 
-def _means(df: DataFrame, L: Layout) -> DataFrame:
-    """Per group mean of both coordinate pairs over usable points (one aggregate)."""
-    ok_u, ok_g = usable_point(L.utm_x, L.utm_y), usable_point(L.lon, L.lat)
-    return df.groupBy(L.group).agg(
-        F.avg(F.when(ok_u, F.col(L.utm_x))).alias("_mux"), F.avg(F.when(ok_u, F.col(L.utm_y))).alias("_muy"),
-        F.avg(F.when(ok_g, F.col(L.lon))).alias("_mlon"), F.avg(F.when(ok_g, F.col(L.lat))).alias("_mlat"),
-        F.count(F.lit(1)).alias("group_size"),
-    )
-
-
 def _centroid_picks(df: DataFrame, L: Layout, metrics: list[str], carry: list[str]) -> DataFrame:
     """One row per group: for each metric the member nearest the mean as a struct
-    ``pick_<metric>`` = (d, id, *carry), plus the means and the group size."""
-    means = Small(_means(df, L))
-    j = means.join(df, L.group)
-    for name in metrics:
-        x, y = L.coords(name)
-        cx, cy = (F.col("_mux"), F.col("_muy")) if name == "utm" else (F.col("_mlon"), F.col("_mlat"))
-        j = j.withColumn(f"_d_{name}", F.when(usable_point(x, y), METRICS[name].column(x, y, cx, cy)))
-    # least distances by a hash aggregate; only rows at one of them are compared as structs
-    least = Small(j.groupBy(L.group).agg(*[F.min(f"_d_{n}").alias(f"_l_{n}") for n in metrics]))
-    at = {n: F.col(f"_d_{n}") == F.col(f"_l_{n}") for n in metrics}
-    near = least.join(j, L.group).where(reduce(Column.__or__, at.values()))
-    aggs = [F.min(F.when(at[n], F.struct(F.col(f"_d_{n}").alias("d"), F.col(L.id).alias("id"), *[F.col(c) for c in carry])))
-            .alias(f"pick_{n}") for n in metrics]
-    picks = near.groupBy(L.group).agg(*aggs)
-    return means.join(picks, L.group)
+    ``pick_<metric>`` = (d, id, *carry), plus the means and the group size.
+
+    Two scans for any number of metrics: the means with bounds on the least
+    distances, then the rows within one of the bounds (see ``centre_bounds``)."""
+    pair = {n: "u" if n == "utm" else "g" for n in metrics}
+    both = {"u": (L.utm_x, L.utm_y), "g": (L.lon, L.lat)}
+    bounds = centre_bounds(df, L.group, both, {n: (pair[n], n, "native") for n in metrics})
+    j = bounds.join(df.select(*dict.fromkeys([L.group, L.id, *carry, *both["u"], *both["g"]])), L.group)
+    dist = {f"_d_{n}": F.when(usable_point(*both[pair[n]]), METRICS[n].column(*both[pair[n]], f"_x_{pair[n]}", f"_y_{pair[n]}")) for n in metrics}
+    near = within(j, dist, {f"_d_{n}": f"_limit_{n}" for n in metrics}, list(dict.fromkeys([L.group, L.id, *carry])))
+    picks = near.groupBy(L.group).agg(*[
+        F.min(F.when(F.col(f"_d_{n}").isNotNull(), F.struct(F.col(f"_d_{n}").alias("d"), F.col(L.id).alias("id"), *[F.col(c) for c in carry])))
+        .alias(f"pick_{n}") for n in metrics])
+    return bounds.join(picks, L.group).select(
+        L.group, F.col("_rows").alias("group_size"), F.col("_x_u").alias("_mux"), F.col("_y_u").alias("_muy"),
+        F.col("_x_g").alias("_mlon"), F.col("_y_g").alias("_mlat"), *[f"pick_{n}" for n in metrics])
 
 
 def _medoid_pick(df: DataFrame, L: Layout, metric: str, **tuning) -> DataFrame:

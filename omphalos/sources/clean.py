@@ -39,10 +39,11 @@ def strip_text(c) -> Column:
 
 
 def parse_number(col: Column) -> Column:
-    """A finite decimal number, or null. The cast alone also takes Java's literals
-    (``1.5d``, ``0x1p3``), and the words for infinity and not-a-number."""
-    number = col.rlike(r"\A[\x00-\x20]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[\x00-\x20]*\z")
-    value = F.when(number, col.try_cast("double"))
+    """A finite decimal number, or null. The cast alone also takes Java's literals (``1.5d``,
+    ``0x1p3``) and the words for infinity and not-a-number, all of which have a letter besides e.
+
+    Digits grouped by ``_`` and digits or blanks beyond ASCII aren't taken."""
+    value = F.when(~col.rlike("[A-DF-Za-df-z]"), col.try_cast("double"))
     return F.when(F.abs(value) != float("inf"), value)
 
 
@@ -56,7 +57,8 @@ def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     if on_bad not in ("reject", "fail"):
         raise ValueError(f"on_bad must be 'reject' or 'fail', got {on_bad!r}")
     ux, uy = F.col("UTM_X"), F.col("UTM_Y")
-    px, py = parse_number(ux), parse_number(uy)
+    raw = raw.withColumns({"_utm_x": parse_number(ux), "_utm_y": parse_number(uy)})
+    px, py = F.col("_utm_x"), F.col("_utm_y")
     missing = ux.isNull() | (ux == "") | uy.isNull() | (uy == "")
     bad = px.isNull() | py.isNull()
     reason = (
@@ -67,7 +69,7 @@ def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     )
     # parsed values get their own names: column names resolve case-insensitively,
     # so "utm_x" would replace the raw "UTM_X"
-    out = raw.withColumns({"reject_reason": reason, "_utm_x": px, "_utm_y": py})
+    out = raw.withColumn("reject_reason", reason)
     if on_bad == "fail":
         out = out.withColumn(
             "reject_reason",

@@ -4,6 +4,8 @@ and the staged medoid against the brute-force definition."""
 
 import math
 
+import re
+
 import numpy as np
 import pytest
 
@@ -213,4 +215,19 @@ def test_centroid_pick_moves_no_rows_behind_a_broadcast(spark, limit, monkeypatc
     assert {r["g"]: r["center_id"] for r in got.collect()} == want
     if limit:
         plan = got._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        below = [plan[m.end():].split("\n")[1] for m in re.finditer("Exchange hashpartitioning", plan)]
+        assert below and all("partial_min" in line for line in below) and "BroadcastHashJoin" in plan
+
+
+def test_hot_groups_are_dealt_in_proportion(spark, monkeypatch):
+    """A group of a third of all rows goes to as many tasks as it has shares; the others to one each."""
+    from omphalos.operators import attach
+
+    monkeypatch.setattr(attach, "SHARE", 50)
+    rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 100).cast("string"))).alias("g"), "id")
+    assert [tuple(r) for r in attach.hot_groups(rows, ["g"]).collect()] == [("hot", 6)]
+    few = attach.Small(rows.groupBy("g").agg(F.count("*").alias("n")), limit=0)
+    assert not few.local
+    assert few.join(rows, "g").select("id", "n").distinct().count() == 900
+    monkeypatch.setattr(attach, "MOST_HOT", 1)
+    assert attach.hot_groups(rows, ["g"]).collect() == []
