@@ -229,6 +229,34 @@ def _custom_metric(implementation: str):
     return q
 
 
+def _custom_medoid(implementation: str):
+    """The medoid under a distance that isn't built in."""
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        size = F.abs if implementation == "native" else abs
+        out = medoid(pts.customer_centers(spark, sf), "ownership", "center_id", "utm_x", "utm_y",
+                     lambda a, b, c, d: size(a - c) + size(b - d), tie_decimals=M, implementation=implementation)
+        return out.select("ownership", "center_id", "total_distance")
+    return q
+
+
+def q_argument_checks(spark, sf):
+    """What calls with a wrong argument raise, and the rows that a right one returns."""
+    c = pts.customer_centers(spark, sf)
+    calls = {
+        "right": {}, "method": {"method": "mode"}, "metric": {"metric": "manhattan"}, "implementation": {"implementation": "jit"},
+        "ties": {"ties": "some"}, "column": {"x_col": "no_such", "y_col": "utm_y"},
+        "medoid metric": {"method": "medoid", "metric": "manhattan"}, "medoid bound": {"method": "medoid", "bound": "guess"},
+    }
+    out = []
+    for name, change in calls.items():
+        try:
+            outcome = str(most_central(c, "ownership", "center_id", **change).count())
+        except ValueError:
+            outcome = "ValueError"
+        out.append((name, outcome))
+    return spark.createDataFrame(out, "argument string, outcome string")
+
+
 def q_map_aspect(spark, sf):
     mean = pts.customer_centers(spark, sf).groupBy("ownership").agg(F.avg("latitude").alias("lat"))
     return mean.select("ownership", F.round(longitude_scale("lat"), DEG).alias("aspect"))
@@ -306,6 +334,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prepared_group_sizes": q_prepared_sizes,
         "centroid_custom_metric": _custom_metric("native"),
         "centroid_custom_metric_pandas_udf": _custom_metric("pandas_udf"),
+        "medoid_custom_metric": _custom_medoid("native"),
+        "medoid_custom_metric_pandas_udf": _custom_medoid("pandas_udf"),
+        "argument_checks": q_argument_checks,
         "map_aspect": q_map_aspect,
         "clean_bad_literals": q_clean_bad_literals,
         "medoid_tied_first": q_medoid_tied_first,
@@ -612,6 +643,13 @@ SELECT count(*) AS picks,
 SELECT CAST(center_id AS VARCHAR) AS center_id, center_name, CAST(NULL AS VARCHAR) AS center_type, ownership,
        CAST(NULL AS VARCHAR) AS municipality, CAST(NULL AS VARCHAR) AS education_area, utm_x, utm_y,
        round(longitude, {DEG}) AS longitude, round(latitude, {DEG}) AS latitude FROM centers"""
+    manhattan_medoid = f"""WITH {_centers('customer')},
+tot AS (SELECT a.ownership, a.center_id, round(sum(abs(a.utm_x - b.utm_x) + abs(a.utm_y - b.utm_y)), {M}) AS total_distance
+        FROM centers a JOIN centers b ON a.ownership = b.ownership GROUP BY a.ownership, a.center_id)
+SELECT ownership, center_id, total_distance FROM (SELECT *, rank() OVER (PARTITION BY ownership ORDER BY total_distance) AS r FROM tot) WHERE r = 1"""
+    wrong = ", ".join(f"('{a}', 'ValueError')" for a in ("method", "metric", "implementation", "ties", "column", "medoid metric", "medoid bound"))
+    checks = f"""SELECT * FROM (VALUES {wrong}) t(argument, outcome)
+UNION ALL SELECT 'right', CAST(count(*) AS VARCHAR) FROM ({_centroid_sql("customer", "utm")})"""
     manhattan = f"""WITH {_centers('customer')},
 cen AS (SELECT ownership, avg(utm_x) AS cx, avg(utm_y) AS cy FROM centers WHERE ownership IS NOT NULL GROUP BY ownership),
 d AS (SELECT ownership, center_id, abs(utm_x - cx) + abs(utm_y - cy) AS distance FROM centers JOIN cen USING (ownership)),
@@ -636,6 +674,9 @@ SELECT ownership, center_name, round(distance, {M}) AS distance FROM rk WHERE r
         "prepared_group_sizes": sql["group_sizes"],
         "centroid_custom_metric": manhattan,
         "centroid_custom_metric_pandas_udf": manhattan,
+        "medoid_custom_metric": manhattan_medoid,
+        "medoid_custom_metric_pandas_udf": manhattan_medoid,
+        "argument_checks": checks,
         "map_aspect": f"""WITH {_centers('customer')}
 SELECT ownership, round(cos(radians(avg(latitude))), {DEG}) AS aspect FROM centers GROUP BY ownership""",
         "clean_bad_literals": f"""WITH {_raw_sql()},

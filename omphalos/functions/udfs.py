@@ -23,7 +23,7 @@ def row_udf_distance(metric: str | Metric):
             return None
         return m.scalar(x1, y1, x2, y2)
 
-    return F.udf(distance, DoubleType())
+    return F.udf(distance, DoubleType(), useArrow=True)
 
 
 def pandas_udf_distance(metric: str | Metric):

@@ -2,31 +2,37 @@
 
 The medoid of a group minimises S(p) = sum_j w_j d(p, x_j) over its members.
 The brute-force way is a self-join on the group: n^2 rows per group, and
-with few groups the whole n^2 lands in a handful of tasks. Instead:
+with few groups the whole n^2 lands in a handful of tasks. Instead identical
+coordinates collapse to weighted *locations* (exact for S; a group of copies
+holding a third of all rows becomes one row), bounds leave few candidates, and
+only these get an exact total.
 
-1. Identical coordinates collapse to weighted *locations* (exact for S; a
-   group of copies holding a third of all rows becomes one row).
-2. Every location is embedded so that the Euclidean norm of the embedding
+Built-in metrics: branch and bound over a tree of cells, refined in rounds.
+
+1. Every location is embedded so that the Euclidean norm of the embedding
    never exceeds the metric: the plane itself for utm/euclidean, the 3-D
    point R(cos(lat)cos(lon), cos(lat)sin(lon), sin(lat)) for haversine
    (chord <= arc).
-3. Per group, a quantile grid splits locations into cells; each cell keeps
-   its weight W_c, weighted mean m_c and a radius bound r_c. By Jensen,
-   L(p) = sum_c W_c |p - m_c| <= S(p), and L(p) >= L(m_c) - n r_c for p in c.
-4. An upper bound U = exact S of a few seed locations (nearest the means of
-   the cells with the least L(m_c)).
-5. Cells with L(m_c) - n r_c > U are dropped; of the rest, locations with
-   L(p) > U are dropped. What remains are candidates; every true medoid
+2. Cells keep their weight W_c, weighted mean m_c and a radius bound r_c. By
+   Jensen, L(p) = sum_c W_c |p - m_c| <= S(p), and L(p) >= L(m_c) - n r_c for
+   p in c. The first cells are a quantile grid of about 2 n^(1/4) per axis.
+3. U is the least exact S of a few members. Cells with L(m_c) - n r_c > U are
+   dropped, and of the rest the locations with L(p) > U; every true medoid
    survives (all comparisons carry a relative slack).
-6. Exact S for each candidate against all locations of its group:
-   a broadcast join when the candidate count is below a checked bound,
-   otherwise a join on (group, salt) that splits each group's locations
-   into blocks so no task holds a whole group.
-
-Every step is a Spark aggregate, join or column expression; per-group
-summaries are bounded by the grid size, not by the data. Intermediate
-tables are written under ``spark.checkpoint.dir`` so lineage stays short
-and a lost executor re-reads files instead of recomputing stages.
+4. While more than ``TARGET`` candidates a group are left and the cells are
+   fewer than a quarter of the locations, the cells that make up the bounds' error are split into 4 x 4,
+   U is renewed from the best candidates, and only the candidates are bounded
+   again. Far cells stay coarse, and nothing else limits the depth.
+
+Any other distance that is a metric: batches of members get their exact S, and
+by the triangle inequality S(p) >= S(q) - n d(p, q) for every member q of a batch.
+A batch of about sqrt(n) members drawn from those left is taken in each round.
+
+Sums over pairs of points and masses broadcast whichever side is below a counted
+bound, otherwise they join on (group, block of points, block of masses), so no task
+ever holds a whole group. Each location's row is written once; intermediate tables go
+under ``spark.checkpoint.dir`` so lineage stays short and a lost executor
+re-reads files instead of recomputing stages.
 """
 
 from __future__ import annotations
@@ -36,22 +42,28 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.metrics import EARTH_RADIUS_M, Metric, get_metric
+from ..functions.metrics import EARTH_RADIUS_M, METRICS, Metric, get_metric
+from ..functions.udfs import distance_column
 from ..session import discard, materialize
-from .attach import Small
+from .attach import SMALL_ROWS, Small
 from .centroid import top_by
-from .guards import TIES, assert_unique, check_choice, reject_clashes, require_columns, usable_point
+from .guards import IMPLEMENTATIONS, TIES, assert_unique, check_choice, reject_clashes, require_columns, usable_point
 
 SLACK_REL = 1e-9
 SLACK_ABS = 1e-6
-QUANTILE_STEPS = 64  # finest grid per axis; coarser grids take every k-th cut
-MOST_TASKS = 20_000  # of one stage; beyond it tasks hold more pairs each
+QUANTILE_STEPS = 64  # finest first grid per axis; coarser ones take every k-th cut
+FIRST_GRID = 32  # cells per axis of the first grid at most; rounds split on without a limit
 GRID_SCALE = 2.0  # cells per axis ~ GRID_SCALE * n^(1/4)
-
+TARGET = 32  # candidates a group that are summed exactly without another round
+SEEDS = 3  # members a group that give the upper bound of a round
+MOST_TASKS = 20_000  # of one stage; beyond it tasks hold more pairs each
 
 #: Digits that totals are rounded to before ranking, by metric.
 TIE_DECIMALS = {"utm": 3, "haversine": 3, "euclidean": 9}
 
+E = ("e1", "e2", "e3")
+M = ("m1", "m2", "m3")
+
 
 def _embed(metric: Metric, x: Column, y: Column) -> list[Column]:
     if metric.spherical:
@@ -61,14 +73,20 @@ def _embed(metric: Metric, x: Column, y: Column) -> list[Column]:
     return [x, y, F.lit(0.0)]
 
 
-def _norm(a: list[Column], b: list[Column]) -> Column:
-    return F.sqrt(sum(((ai - bi) * (ai - bi) for ai, bi in zip(a, b)), F.lit(0.0)))
+def _norm(a, b) -> Column:
+    return F.sqrt(sum(((F.col(i) - F.col(j)) * (F.col(i) - F.col(j)) for i, j in zip(a, b)), F.lit(0.0)))
 
 
-def _grid_size(n_loc: Column, max_grid: int) -> Column:
-    """Cells per axis: about n^(1/4) (balances bound work against candidates),
-    a power of two between 1 and max_grid."""
-    k = F.greatest(F.lit(1.0), F.least(F.lit(float(max_grid)), F.lit(GRID_SCALE) * F.pow(n_loc.cast("double"), 0.25)))
+def _held(value: Column) -> Column:
+    """``value`` as Catalyst can't move it: a filter or join on it isn't pushed below
+    the projection that computes it, which would repeat its expression many times."""
+    return value.cast("long") + F.least(F.monotonically_increasing_id(), F.lit(0))
+
+
+def _grid_size(n_loc: Column, first_grid: int) -> Column:
+    """Cells per axis of the first grid: about n^(1/4) (balances bound work against
+    candidates), a power of two between 1 and ``first_grid``."""
+    k = F.greatest(F.lit(1.0), F.least(F.lit(float(first_grid)), F.lit(GRID_SCALE) * F.pow(n_loc.cast("double"), 0.25)))
     return F.pow(F.lit(2.0), F.round(F.log2(k))).cast("int")
 
 
@@ -88,32 +106,208 @@ def _count_at_or_below(df: DataFrame, cuts: str, value: str, out: str) -> DataFr
     return df
 
 
-def _sized_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    """Broadcast ``df`` only when its counted size is under ``limit`` rows."""
-    return F.broadcast(df) if rows <= limit else df
-
+class Pairs:
+    """Joins within groups, whose way depends on the counted sizes of both sides."""
+
+    def __init__(self, group: str, broadcast_rows: int, pairs_per_task: int):
+        self.group, self.broadcast_rows, self.pairs_per_task = group, broadcast_rows, pairs_per_task
+        self.groups = 0  # set once they are counted
+
+    def attach(self, rows: DataFrame, per_group: DataFrame) -> DataFrame:
+        """``rows`` with a table of one row per group, computed from written ones."""
+        few = self.groups <= min(SMALL_ROWS, self.broadcast_rows)
+        return rows.join(F.broadcast(per_group), self.group) if few else Small(per_group).join(rows, self.group)
+
+    def _spread(self, df: DataFrame, pairs: float) -> DataFrame:
+        """Repartition ``df`` where its pairs are more than a task's share."""
+        if pairs <= self.pairs_per_task / 8:
+            return df
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(min(max(2 * cores, math.ceil(pairs / self.pairs_per_task)), MOST_TASKS))
+
+    def fold(self, points: DataFrame, n: int, masses: DataFrame, m: int, keys: list[str], value: Column, how=F.sum) -> DataFrame:
+        """``keys`` of ``points`` and ``value``, summed (or ``how``) over the masses of the point's group.
+
+        ``n`` and ``m`` are at least the numbers of rows of the two sides.
+        """
+        g = self.group
+        pairs = float(n) * m / max(1, self.groups)
+        if n <= min(m, self.broadcast_rows):
+            joined = self._spread(masses, pairs).join(F.broadcast(points), g)
+        elif m <= self.broadcast_rows:
+            joined = self._spread(points, pairs).join(F.broadcast(masses), g)
+        else:
+            joined = self._in_blocks(points, masses, keys)
+            return joined.groupBy(*keys, "_mb").agg(how(value).alias("value")).groupBy(*keys).agg(how("value").alias("value"))
+        return joined.groupBy(*keys).agg(how(value).alias("value"))
+
+    def _in_blocks(self, points: DataFrame, masses: DataFrame, keys: list[str]) -> DataFrame:
+        """Every block of a group's points meets every block of its masses; a block pair has about ``pairs_per_task`` pairs."""
+        g, side = self.group, float(max(1, math.isqrt(self.pairs_per_task)))
+        count = lambda df: df.groupBy(g).agg(F.count(F.lit(1)).alias("n"))
+        blocks = Small(count(points).join(count(masses).withColumnRenamed("n", "m"), g)
+                       .select(g, F.ceil(F.col("n") / side).cast("int").alias("_np"), F.ceil(F.col("m") / side).cast("int").alias("_nm")))
+        p = blocks.join(points, g).withColumn("_pb", F.pmod(F.xxhash64(*keys), F.col("_np")).cast("int"))
+        p = p.withColumn("_mb", F.explode(F.sequence(F.lit(0), F.col("_nm") - 1))).drop("_np", "_nm")
+        m = blocks.join(masses, g).withColumn("_mb", F.pmod(F.xxhash64(*masses.columns), F.col("_nm")).cast("int"))
+        m = m.withColumn("_pb", F.explode(F.sequence(F.lit(0), F.col("_np") - 1))).drop("_np", "_nm")
+        return p.join(m, [g, "_pb", "_mb"])
+
+
+def _locations(df: DataFrame, g: str, x_col: str, y_col: str, metric: Metric) -> DataFrame:
+    """Weighted locations ``(lid, g, x, y, w, e1..e3)``, written once.
+
+    Validity is folded into the weight so no row filter is pushed into the
+    projection that computed the coordinates.
+    """
+    loc = (
+        df.groupBy(g, x_col, y_col).agg(F.sum(F.when(usable_point(x_col, y_col), F.lit(1.0))).alias("w"))
+        .filter(F.col("w") > 0)
+        .select(g, F.col(x_col).alias("x"), F.col(y_col).alias("y"), "w")
+        .filter(F.col(g).isNotNull())
+    )
+    embedded = zip(_embed(metric, F.col("x"), F.col("y")), E)
+    return materialize(loc.select(F.monotonically_increasing_id().alias("lid"), "*", *[c.alias(n) for c, n in embedded]), "locations")
 
-def _spread_to(df: DataFrame, pairs_bound: float, pairs_per_task: int) -> DataFrame:
-    """Repartition ``df`` where its pairs, at most ``pairs_bound``, are more than a task's share."""
-    if pairs_bound <= pairs_per_task / 8:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(max(2 * cores, math.ceil(pairs_bound / pairs_per_task)), MOST_TASKS))
 
+def _top(df: DataFrame, g: str, order: list, k: int) -> DataFrame:
+    w = Window.partitionBy(g).orderBy(*order)
+    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
-def _lower_bounds(points: DataFrame, cells: DataFrame, n_cells: int, g: str, keys: list[str],
-                  e: list[Column], broadcast_rows: int, pairs_per_task: int, pairs_bound: float) -> DataFrame:
-    """L(p) = sum over the group's cells of W_c * |e(p) - m_c| for every row of ``points``.
 
-    A join on the group with the per-cell summary (bounded by the grid, so
-    broadcast when its counted size allows) and a partial+final aggregate
-    per point; all of it inside whole-stage codegen.
-    """
-    c = cells.select(g, F.col("w").alias("_cw"), *[F.col(f"m{i}").alias(f"_c{i}") for i in (1, 2, 3)])
-    term = F.col("_cw") * _norm(e, [F.col(f"_c{i}") for i in (1, 2, 3)])
-    points = _spread_to(points, pairs_bound, pairs_per_task)
-    return (points.join(_sized_broadcast(c, n_cells, broadcast_rows), g)
-            .groupBy(*keys).agg(F.sum(term).alias("lb")))
+class Cells:
+    """The tree of cells over the locations: its leaves, and the cell of each location as a lazy column."""
+
+    def __init__(self, loc: DataFrame, pairs: Pairs, first_grid: int):
+        self.pairs, self.g = pairs, pairs.group
+        probs = [i / QUANTILE_STEPS for i in range(1, QUANTILE_STEPS)]
+        grid = Small(loc.groupBy(self.g).agg(
+            F.count(F.lit(1)).alias("n_loc"),
+            F.percentile_approx("x", probs, 1000).alias("qx"),
+            F.percentile_approx("y", probs, 1000).alias("qy"),
+        ).select(self.g, "qx", "qy", (F.lit(QUANTILE_STEPS) / _grid_size(F.col("n_loc"), first_grid)).cast("int").alias("s")))
+        at = grid.join(loc, self.g)
+        at = _count_at_or_below(_count_at_or_below(at, "qx", "x", "_fx"), "qy", "y", "_fy")
+        row = F.floor(F.col("_fx") / F.col("s")) * (F.lit(QUANTILE_STEPS) / F.col("s"))
+        self.located = at.select(*loc.columns, _held(row + F.floor(F.col("_fy") / F.col("s"))).alias("cell"))
+        self._summarise()
+
+    def _summarise(self) -> None:
+        made = self.located.groupBy(self.g, "cell").agg(
+            F.sum("w").alias("w"), F.count(F.lit(1)).alias("nl"), F.first("x").alias("sx"), F.first("y").alias("sy"),
+            *[(F.sum(F.col("w") * F.col(e)) / F.sum("w")).alias(m) for e, m in zip(E, M)],
+            *[F.min(c).alias(f"lo_{c}") for c in (*E, "x", "y")], *[F.max(c).alias(f"hi_{c}") for c in (*E, "x", "y")],
+        )
+        reach = [F.greatest(F.col(f"hi_{e}") - F.col(m), F.col(m) - F.col(f"lo_{e}")) for e, m in zip(E, M)]
+        box = [f"{end}_{c}" for c in ("x", "y") for end in ("lo", "hi")]
+        radius = F.sqrt(sum((r * r for r in reach), F.lit(0.0))).alias("radius")
+        self.leaves = materialize(made.select(self.g, "cell", "w", "nl", "sx", "sy", *M, radius, *box), "cells")
+        self.number = self.leaves.count()
+
+    def bound(self, points: DataFrame, n: int, keys: list[str]) -> DataFrame:
+        """``keys`` and ``value``, the lower bound L at the embedding of each of (at most n) points."""
+        masses = self.leaves.select(self.g, F.col("w").alias("cw"), *M)
+        return self.pairs.fold(points, n, masses, self.number, keys, F.col("cw") * _norm(E, M))
+
+    def narrow(self, cells: DataFrame) -> DataFrame:
+        """``cells``, some of the leaves, as the side of a join on (group, cell)."""
+        return F.broadcast(cells) if self.number <= self.pairs.broadcast_rows else cells.hint("merge")
+
+    def split(self, near: DataFrame) -> None:
+        """Split into 4 x 4 the cells that make up the error of bounds near the embedded points ``near(g, q1..q3)``.
+
+        The error of a cell is of first order (its radius) close by and of second
+        order far away; cells with the group's mean error or more are split.
+        """
+        d = _norm(M, ("q1", "q2", "q3"))
+        error = F.col("w") * F.col("radius") * F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("radius"), 2.0 * d), F.lit(1.0)))
+        rated = self.pairs.attach(self.leaves, near).withColumn("_err", error)
+        mean = rated.groupBy(self.g).agg(F.avg("_err").alias("_mean"))
+        parted = self.pairs.attach(rated, mean).where((F.col("nl") > 1) & (F.col("radius") > 0) & (F.col("_err") >= F.col("_mean")))
+        parted = materialize(parted.select(self.g, "cell", "lo_x", "hi_x", "lo_y", "hi_y"), "split")
+        at = self.located.join(self.narrow(parted), [self.g, "cell"], "left")
+
+        def part(c: str) -> Column:
+            place = F.floor(F.try_divide(F.col(c) - F.col(f"lo_{c}"), F.col(f"hi_{c}") - F.col(f"lo_{c}")) * 4)
+            return F.least(F.lit(3), F.coalesce(place, F.lit(0)))
+
+        below = F.when(F.col("lo_x").isNotNull(), 1 + part("x") * 4 + part("y")).otherwise(F.lit(0))
+        columns = [c for c in self.located.columns if c != "cell"]
+        self.located = at.select(*columns, _held(F.col("cell") * 17 + below).alias("cell"))
+        old = self.leaves
+        self._summarise()
+        discard(old)
+
+
+def _upper(pairs: Pairs, seeds: DataFrame, loc: DataFrame, locations: int, dist: Column) -> DataFrame:
+    """``(g, u)``: the least exact total of each group's few seeds ``(g, cx, cy)``."""
+    g = pairs.group
+    sums = pairs.fold(seeds.select(g, "cx", "cy").distinct(), SEEDS * pairs.groups, loc.select(g, "x", "y", "w"), locations, [g, "cx", "cy"], F.col("w") * dist)
+    return materialize(sums.groupBy(g).agg(F.min("value").alias("u")), "upper")
+
+
+def _by_cells(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit, first_grid: int, stats: dict) -> tuple[DataFrame, int]:
+    """Candidates ``(cid, g, cx, cy)`` by the bounds of the cells, and their number."""
+    g = pairs.group
+    cells = Cells(loc, pairs, first_grid)
+    own = cells.leaves.select(g, "cell", "sx", "sy", "w", "radius", *[F.col(m).alias(e) for m, e in zip(M, E)])
+    bounds = materialize(cells.bound(own.select(g, "cell", *E), cells.number, [g, "cell"]).join(own, [g, "cell"]), "cell-bounds")
+    seeds = _top(bounds, g, [F.col("value"), F.col("cell")], SEEDS).select(g, F.col("sx").alias("cx"), F.col("sy").alias("cy"))
+    upper = _upper(pairs, seeds, loc, locations, dist)
+    weight = bounds.groupBy(g).agg(F.sum("w").alias("n"))
+    known = pairs.attach(bounds, upper.join(weight, g))
+    live = known.where(F.col("value") - F.col("n") * F.col("radius") <= limit(F.col("u"))).select(g, "cell")
+    points = cells.located.join(cells.narrow(live), [g, "cell"]).select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy"), *E)
+
+    def bounded(points: DataFrame, n: int, upper: DataFrame) -> DataFrame:
+        found = pairs.attach(cells.bound(points, n, ["cid", g, "cx", "cy", *E]), upper)
+        return materialize(found.where(F.col("value") <= limit(F.col("u"))).drop("u").withColumnRenamed("value", "lb"), "candidates")
+
+    candidates = bounded(points, locations, upper)
+    left, rounds = candidates.count(), 0
+    while left > TARGET * pairs.groups and cells.number * 4 < locations:
+        best = _top(candidates, g, [F.col("lb"), F.col("cid")], SEEDS)
+        near = _top(candidates, g, [F.col("lb"), F.col("cid")], 1).select(g, *[F.col(e).alias(f"q{i}") for i, e in enumerate(E, 1)])
+        upper = upper.unionByName(_upper(pairs, best, loc, locations, dist)).groupBy(g).agg(F.min("u").alias("u"))
+        cells.split(near)
+        fewer = bounded(candidates.drop("lb"), left, upper)
+        discard(candidates)
+        candidates, left, rounds = fewer, fewer.count(), rounds + 1
+    stats.update(cells=cells.number, candidates=left, rounds=rounds)
+    return candidates.select("cid", g, "cx", "cy"), left
+
+
+def _by_triangle(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit, stats: dict) -> tuple[DataFrame, int]:
+    """Candidates ``(cid, g, cx, cy)`` of a metric without an embedding, by the triangle inequality alone, and their number."""
+    g = pairs.group
+    weight = materialize(loc.groupBy(g).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("k")), "weights")
+    points = loc.select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy"))
+    masses = loc.select(g, "x", "y", "w")
+    left, upper, rounds = locations, None, 0
+    while left > TARGET * pairs.groups:
+        # a batch of about sqrt(n) members of those left, drawn by a hash that differs between rounds
+        share = points.groupBy(g).agg(F.count(F.lit(1)).alias("_left")).join(weight, g).select(
+            g, F.least(F.lit(1.0), F.sqrt(F.col("k").cast("double")) / F.col("_left")).alias("_share"))
+        draw = F.pmod(F.xxhash64("cid", F.lit(rounds)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        batch = pairs.attach(points, materialize(share, "shares")).where(draw < F.col("_share")).drop("_share")
+        batch = materialize(batch, "batch")
+        sums = pairs.fold(batch, batch.count(), masses, locations, ["cid", g, "cx", "cy"], F.col("w") * dist)
+        sums = materialize(sums, "batch-totals")
+        least = sums.groupBy(g).agg(F.min("value").alias("u"))
+        upper = materialize(least if upper is None else upper.unionByName(least).groupBy(g).agg(F.min("u").alias("u")), "upper")
+        pivots = pairs.attach(sums, weight).select(g, F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("value").alias("total"), "n")
+        pivots = materialize(pivots, "pivots")
+        lower = pairs.fold(points, left, pivots, pivots.count(), ["cid", g, "cx", "cy"], F.col("total") - F.col("n") * dist, F.max)
+        # a group without a draw keeps all its members for this round
+        bounded = points.join(lower.select("cid", "value"), "cid", "left").join(upper, g, "left")
+        out = F.coalesce(F.col("value") > limit(F.col("u")), F.lit(False))
+        fewer = materialize(bounded.where(~out).drop("value", "u"), "candidates")
+        now, rounds = fewer.count(), rounds + 1
+        points, halved, left = fewer, 2 * now <= left, now
+        if not halved:
+            break
+    stats.update(cells=0, candidates=left, rounds=rounds)
+    return points, left
 
 
 def medoid_totals(
@@ -122,173 +316,55 @@ def medoid_totals(
     x_col: str,
     y_col: str,
     metric: str | Metric = "utm",
-    max_grid: int = 32,
-    seeds: int = 3,
+    first_grid: int = FIRST_GRID,
     broadcast_rows: int = 200_000,
     pairs_per_task: int = 4_000_000,
     stats: dict | None = None,
     tie_decimals: int | None = None,
+    implementation: str = "native",
+    bound: str = "triangle",
 ) -> DataFrame:
     """Exact total distance S for every location that can be a medoid.
 
     With ``tie_decimals`` that includes every location whose total rounds to
-    the least one's.
+    the least one's. A distance that is not built in has to be a metric
+    (symmetric, with the triangle inequality), unless ``bound="none"``: then every
+    location is summed. ``implementation="pandas_udf"`` evaluates a distance that
+    exists only over arrays.
 
     Returns (group, x, y, total_distance) for the candidate locations of
     each group; the minimum per group is the exact medoid total. Rows with a
     null group or a null/NaN coordinate take no part.
     """
     m = get_metric(metric)
-    if m.name not in ("utm", "euclidean", "haversine"):
-        raise ValueError("medoid supports the built-in metrics utm, euclidean and haversine")
-    if max_grid < 1 or max_grid > QUANTILE_STEPS or max_grid & (max_grid - 1):
-        raise ValueError(f"max_grid must be a power of two in [1, {QUANTILE_STEPS}]")
+    check_choice("implementation", implementation, IMPLEMENTATIONS)
+    check_choice("bound", bound, ("triangle", "none"))
+    if first_grid < 1 or first_grid > QUANTILE_STEPS or first_grid & (first_grid - 1):
+        raise ValueError(f"first_grid must be a power of two in [1, {QUANTILE_STEPS}]")
     g = group_col
-    x, y = F.col(x_col), F.col(y_col)
-
-    # 1. weighted locations with their embedding and a numeric id; validity is
-    #    folded into the weight so no row filter is pushed into the projection
-    #    that computed the coordinates
-    ok = usable_point(x_col, y_col)
-    loc = (
-        df.groupBy(g, x_col, y_col).agg(F.sum(F.when(ok, F.lit(1.0))).alias("w"))
-        .filter(F.col("w") > 0)
-        .select(g, x.alias("x"), y.alias("y"), "w")
-        .filter(F.col(g).isNotNull())
-    )
-    loc = loc.select(F.monotonically_increasing_id().alias("lid"), "*",
-                     *[c.alias(f"e{i}") for i, c in enumerate(_embed(m, F.col("x"), F.col("y")), 1)])
-    loc = materialize(loc, "locations")
-
-    # 2. per-group quantile cuts (63 fine cuts per axis); a group with n
-    #    locations uses every s-th cut, s = 64 / k, k ~ n^(1/4) cells per axis
-    probs = [i / QUANTILE_STEPS for i in range(1, QUANTILE_STEPS)]
-    grid = loc.groupBy(g).agg(
-        F.count(F.lit(1)).alias("n_loc"),
-        F.percentile_approx("x", probs, 1000).alias("qx"),
-        F.percentile_approx("y", probs, 1000).alias("qy"),
-    ).select(g, "qx", "qy", (F.lit(QUANTILE_STEPS) / _grid_size(F.col("n_loc"), max_grid)).cast("int").alias("s"))
-
-    # 3. cell of every location, then per-cell weight, mean and radius bound
-    ex = [F.col(f"e{i}") for i in (1, 2, 3)]
-    located = loc.join(grid, g)
-    located = _count_at_or_below(located, "qx", "x", "_fx")
-    located = _count_at_or_below(located, "qy", "y", "_fy")
-    located = located.select(
-        "lid", g, "x", "y", "w", *ex,
-        (F.floor(F.col("_fx") / F.col("s")) * (F.lit(QUANTILE_STEPS) / F.col("s"))
-         + F.floor(F.col("_fy") / F.col("s"))).cast("int").alias("cell"),
-    )
-    located = materialize(located, "located")
-    cells = located.groupBy(g, "cell").agg(
-        F.sum("w").alias("w"),
-        F.count(F.lit(1)).alias("nl"),
-        *[(F.sum(F.col("w") * c) / F.sum("w")).alias(f"m{i}") for i, c in enumerate(ex, 1)],
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(ex, 1)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(ex, 1)],
-    )
-    mc = [F.col(f"m{i}") for i in (1, 2, 3)]
-    reach = [F.greatest(F.col(f"hi{i}") - F.col(f"m{i}"), F.col(f"m{i}") - F.col(f"lo{i}")) for i in (1, 2, 3)]
-    cells = cells.select(g, "cell", "w", "nl", *mc,
-                         F.sqrt(sum((r * r for r in reach), F.lit(0.0))).alias("radius"))
-    cells = materialize(cells, "cells")
-    # one single-row job: cells, locations, cell pairs within groups, widest group
-    per_group = cells.groupBy(g).agg(F.count(F.lit(1)).alias("c"), F.sum("nl").alias("nl"))
-    sizes = per_group.agg(
-        F.sum("c").alias("cells"), F.sum("nl").alias("locations"),
-        F.sum(F.col("c") * F.col("c")).alias("pairs"), F.max("c").alias("widest"),
-    ).first()
-    n_cells, n_loc = int(sizes["cells"] or 0), int(sizes["locations"] or 0)
-    cell_pairs, widest = float(sizes["pairs"] or 0), int(sizes["widest"] or 0)
-
-    # 4. bound at every cell mean: L(m_c) and the group weight n
-    totals_w = cells.groupBy(g).agg(F.sum("w").alias("n"))
-    l_mean = _lower_bounds(cells.select(g, "cell", *mc), cells, n_cells, g, [g, "cell"], mc, broadcast_rows,
-                           pairs_per_task, cell_pairs)
-    bounds = (cells.join(l_mean, [g, "cell"]).join(totals_w, g)
-              .select(g, "cell", *mc, "radius", "n", F.col("lb").alias("l_mean")))
-    bounds = materialize(bounds, "cell_bounds")
-
-    # 5. seeds: the location nearest the mean of each of the best few cells;
-    #    U = the least exact total among them. Seeds and live cells are
-    #    subsets of the counted cells, so their broadcasts need no new count.
-    small = n_cells <= broadcast_rows
-    seed_cells = top_k(bounds, g, "l_mean", seeds).select(g, "cell", *[c.alias(f"s{i}") for i, c in enumerate(mc, 1)])
-    near = located.join(F.broadcast(seed_cells) if small else seed_cells, [g, "cell"])
-    near = near.withColumn("d", _norm(ex, [F.col(f"s{i}") for i in (1, 2, 3)]))
-    w_seed = Window.partitionBy(g, "cell").orderBy("d", "x", "y")
-    seed_loc = (near.withColumn("_r", F.row_number().over(w_seed)).filter("_r = 1")
-                .select(g, F.col("x").alias("sx"), F.col("y").alias("sy")))
-    upper = (
-        located.join(F.broadcast(seed_loc) if small else seed_loc, g)
-        .groupBy(g, "sx", "sy")
-        .agg(F.sum(F.col("w") * m.column("x", "y", "sx", "sy")).alias("s"))
-        .groupBy(g).agg(F.min("s").alias("u"))
-    )
-    upper = materialize(upper, "upper")
-
-    # 6. prune cells (L(m_c) - n r_c > U), then locations (L(p) > U)
-    #    The slack covers float sums over n locations and, where totals are
-    #    rounded before ranking, the width of a rounding step
-    rel = max(SLACK_REL, 4.0 * n_loc * 2.0**-52)
+    stats = {} if stats is None else stats
+    pairs = Pairs(g, broadcast_rows, pairs_per_task)
+    loc = _locations(df, g, x_col, y_col, m)
+    dist = distance_column(m, implementation, "x", "y", "cx", "cy")
+    # the slack covers float sums over all locations and, where totals are rounded before
+    # ranking, the width of a rounding step
+    sizes = loc.agg(F.count(F.lit(1)), F.count_distinct(g)).first()
+    locations, pairs.groups = sizes
+    rel = max(SLACK_REL, 4.0 * locations * 2.0**-52)
     step = 0.0 if tie_decimals is None else 10.0**-tie_decimals
-    limit = F.col("u") * F.lit(1.0 + rel) + F.lit(SLACK_ABS + step)
-    live = (bounds.join(upper, g)
-            .filter(F.col("l_mean") - F.col("n") * F.col("radius") <= limit)
-            .select(g, "cell"))
-    near_pts = located.join(F.broadcast(live) if small else live, [g, "cell"]).select("lid", g, *ex)
-    lb = _lower_bounds(near_pts, cells, n_cells, g, ["lid", g], ex, broadcast_rows, pairs_per_task,
-                       float(n_loc) * widest)
-    cand = (lb.join(upper, g).filter(F.col("lb") <= limit).select("lid")
-            .join(located, "lid").select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")))
-    cand = materialize(cand, "candidates")
-    discard(loc, bounds, upper)
-
-    # 7. exact totals for candidates; one single-row job gives their count and
-    #    the exact number of (candidate, location) pairs
-    cand_sizes = (cand.groupBy(g).agg(F.count(F.lit(1)).alias("k")).join(per_group, g)
-                  .agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("nl")).alias("pairs")).first())
-    n_cand, cand_pairs = int(cand_sizes["k"] or 0), float(cand_sizes["pairs"] or 0)
-    if stats is not None:
-        stats.update(cells=n_cells, candidates=n_cand, broadcast_rows=broadcast_rows)
-    dist = m.column("x", "y", "cx", "cy")
-    pts = located.select(g, "x", "y", "w")
-    if n_cand <= broadcast_rows:
-        pts = _spread_to(pts, cand_pairs, pairs_per_task)
-        # bounded by the count above: each task keeps its partition of
-        # locations and meets the candidates of their groups; the per-pair
-        # aggregate is keyed on the numeric candidate id only
-        totals = pts.join(F.broadcast(cand), g).groupBy("cid").agg(F.sum(F.col("w") * dist).alias("total_distance"))
-    else:
-        totals = _salted_totals(pts, cand, g, dist, pairs_per_task)
-    return totals.join(cand, "cid").select(g, F.col("cx").alias(x_col), F.col("cy").alias(y_col), "total_distance")
 
+    def limit(u: Column) -> Column:
+        return u * F.lit(1.0 + rel) + F.lit(SLACK_ABS + step)
 
-def _salted_totals(located: DataFrame, cand: DataFrame, g: str, dist: Column, pairs_per_task: int) -> DataFrame:
-    """Candidate totals by a shuffle join on (group, salt).
-
-    Each group's locations are split into b_g blocks with b_g chosen so a
-    block times the group's candidates is about ``pairs_per_task`` pairs;
-    candidates are repeated once per block. Partial sums per block are then
-    added up, so no task ever holds a whole large group.
-    """
-    sizes = (located.groupBy(g).agg(F.count(F.lit(1)).alias("n_loc"))
-             .join(cand.groupBy(g).agg(F.count(F.lit(1)).alias("n_cand")), g))
-    blocks = sizes.select(
-        g,
-        F.greatest(F.lit(1), F.ceil(F.col("n_loc") * F.col("n_cand") / F.lit(float(pairs_per_task)))).cast("int")
-        .alias("b"),
-    )
-    loc_s = located.join(blocks, g).withColumn("salt", F.pmod(F.xxhash64("x", "y"), F.col("b")).cast("int"))
-    cand_s = cand.join(blocks, g).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
-    part = (loc_s.join(cand_s.drop("b"), [g, "salt"])
-            .groupBy("cid", "salt").agg(F.sum(F.col("w") * dist).alias("p")))
-    return part.groupBy("cid").agg(F.sum("p").alias("total_distance"))
-
-
-def top_k(df: DataFrame, group_col: str, order_col: str, k: int) -> DataFrame:
-    w = Window.partitionBy(group_col).orderBy(F.col(order_col).asc_nulls_last(), "cell")
-    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+    if m is METRICS.get(m.name):
+        cand, n = _by_cells(loc, locations, pairs, dist, limit, first_grid, stats)
+    elif bound == "triangle":
+        cand, n = _by_triangle(loc, locations, pairs, dist, limit, stats)
+    else:
+        cand, n = loc.select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")), locations
+    stats.update(broadcast_rows=broadcast_rows, locations=locations)
+    totals = pairs.fold(cand, n, loc.select(g, "x", "y", "w"), locations, ["cid", g, "cx", "cy"], F.col("w") * dist)
+    return totals.select(g, F.col("cx").alias(x_col), F.col("cy").alias(y_col), F.col("value").alias("total_distance"))
 
 
 def medoid(
@@ -306,12 +382,14 @@ def medoid(
     """Per group, the member(s) minimising the total distance to all members.
 
     Output: group column, id column, the other input columns, ``total_distance``.
-    ``ties="all"`` keeps every member at a minimal total (members sharing the
+    ``metric`` is a built-in one, or any function of four columns that is a metric
+    (see ``medoid_totals`` for the options). ``ties="all"`` keeps every member at a
+    minimal total (members sharing the
     medoid's coordinates always tie); ``"first"`` keeps the lowest id. Totals
     are rounded to ``tie_decimals`` before ranking, so sums that differ only by
-    float noise tie: ``"auto"`` is 3 for metres and 9 for degrees and
-    returns the bare totals, a number returns rounded ones, and None ranks the
-    bare sums.
+    float noise tie: ``"auto"`` is 3 for metres and 9 for degrees (bare sums for
+    other distances) and returns the bare totals, a number returns rounded ones, and
+    None ranks the bare sums.
 
     Eager: the stages before the last run when it is called. Coordinates are
     evaluated once, into a written table of (group, id, x, y); picks come back
@@ -319,16 +397,14 @@ def medoid(
     """
     check_choice("ties", ties, TIES)
     require_columns(df, group_col, id_col, x_col, y_col)
-    reject_clashes(df, ("total_distance", "_pick", "_rank", "_bx", "_by"))
+    reject_clashes(df, ("total_distance", "_pick", "_rank", "_bx", "_by", "_first"))
     if check_unique:
         assert_unique(df.filter(F.col(group_col).isNotNull()), [group_col, id_col])
-    stats = tuning.pop("stats", None)
-    stats = {} if stats is None else stats
     auto = tie_decimals == "auto"
     if auto:
         tie_decimals = TIE_DECIMALS.get(get_metric(metric).name)
     members = materialize(df.select(*dict.fromkeys([group_col, id_col, x_col, y_col])), "members")
-    totals = medoid_totals(members, group_col, x_col, y_col, metric, stats=stats, tie_decimals=tie_decimals, **tuning)
+    totals = medoid_totals(members, group_col, x_col, y_col, metric, tie_decimals=tie_decimals, **tuning)
     rounded = F.col("total_distance") if tie_decimals is None else F.round("total_distance", tie_decimals)
     totals = totals.withColumn("_rank", rounded)
     if not auto:
@@ -336,10 +412,11 @@ def medoid(
     best = Small(top_by(totals, group_col, "_rank", None, "all"))
     # members at the winning locations (all tie: they share coordinates)
     won = best.join(members, [group_col, x_col, y_col]).select(
-        group_col, id_col, F.col(x_col).alias("_bx"), F.col(y_col).alias("_by"), "total_distance", "_rank").distinct()
-    if ties == "first":
-        won = top_by(won, group_col, "_rank", id_col, "first")
-    won = won.drop("_rank")
+        group_col, id_col, F.col(x_col).alias("_bx"), F.col(y_col).alias("_by"), "total_distance").distinct()
+    if ties == "first":  # the least id by an aggregate; of locations that share it, the least
+        first = won.groupBy(group_col).agg(F.min(id_col).alias("_first"))
+        own = won.join(first, group_col).where(F.col(id_col).eqNullSafe(F.col("_first"))).drop("_first")
+        won = _top(own, group_col, ["_bx", "_by"], 1)
     close = lambda c, b: F.abs(F.col(c) - F.col(b)) <= 1e-9 * (1.0 + F.abs(F.col(b)))
     picked = Small(won).join(df, [group_col, id_col]).where(close(x_col, "_bx") & close(y_col, "_by")).drop("_bx", "_by")
     rest = [c for c in df.columns if c not in (group_col, id_col)]

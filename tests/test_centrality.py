@@ -3,11 +3,11 @@ singletons, outliers, duplicate ids, identical coordinates, empty input)
 and the staged medoid against the brute-force definition."""
 
 import math
-
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from omphalos.operators.central import most_central
 from omphalos.operators.centroid import distance_to_centroid, nearest_to_centroid
@@ -154,6 +154,67 @@ def test_staged_medoid_equals_brute_force(spark, metric, shape):
     assert stats["candidates"] < len(rows)
 
 
+def _all_pairs(rows, dist):
+    best = {}
+    for g in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == g]
+        xs, ys = (np.array([r[k] for r in own]) for k in (2, 3))
+        tot = [float(np.sum(dist(x, y, xs, ys))) for _, _, x, y in own]
+        best[g] = sorted(r[0] for r, t in zip(own, tot) if t <= min(tot) * (1 + 1e-12))
+    return sorted((g, i) for g, ids in best.items() for i in ids)
+
+
+@pytest.mark.parametrize("name", ["manhattan", "railway", "discrete"])
+@pytest.mark.parametrize("implementation", ["native", "pandas_udf"])
+def test_medoid_of_any_metric(spark, monkeypatch, name, implementation):
+    """Distances without an embedding: by the sums of axes, by way of the origin, and 0 or 1."""
+    from omphalos.operators import medoid as module
+
+    native = implementation == "native"
+    size, root, choose = (F.abs, F.sqrt, lambda c, a, b: F.when(c, a).otherwise(b)) if native else (np.abs, np.sqrt, np.where)
+    one = (lambda v: F.lit(v)) if native else (lambda v: v)
+    radius = lambda x, y: root(x * x + y * y)
+    forms = {
+        "manhattan": lambda a, b, c, d: size(a - c) + size(b - d),
+        "railway": lambda a, b, c, d: choose((a == c) & (b == d), one(0.0), radius(a, b) + radius(c, d)),
+        "discrete": lambda a, b, c, d: choose((a == c) & (b == d), one(0.0), one(1.0)),
+    }
+    np_choose, np_radius = np.where, lambda x, y: np.sqrt(x * x + y * y)
+    plain = {
+        "manhattan": lambda a, b, c, d: np.abs(a - c) + np.abs(b - d),
+        "railway": lambda a, b, c, d: np_choose((a == c) & (b == d), 0.0, np_radius(a, b) + np_radius(c, d)),
+        "discrete": lambda a, b, c, d: np_choose((a == c) & (b == d), 0.0, 1.0),
+    }
+    monkeypatch.setattr(module, "TARGET", 4)
+    rng = np.random.default_rng(6)
+    rows = [(f"p{i:03}", "big" if i < 330 else f"g{i % 3}", float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 5, (400, 2)))]
+    rows += [(f"copy{k}", "big", rows[7][2], rows[7][3]) for k in range(5)]
+    df = fixture(spark, rows + [("bad", "big", float("nan"), 1.0), ("lost", None, 0.0, 0.0)])
+    got = medoid(df, "g", "center_id", "x", "y", forms[name], tie_decimals=6, implementation=implementation)
+    assert picks(got) == _all_pairs(rows, plain[name])
+
+
+def test_a_distance_that_is_no_metric_is_summed_for_all(spark):
+    square = lambda a, b, c, d: (a - c) * (a - c) + (b - d) * (b - d)
+    rng = np.random.default_rng(3)
+    rows = [(f"p{i:03}", f"g{i % 2}", float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 5, (150, 2)))]
+    got = medoid(fixture(spark, rows), "g", "center_id", "x", "y", square, bound="none")
+    assert picks(got) == _all_pairs(rows, square)
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_rounds_split_cells_until_few_candidates_are_left(spark, monkeypatch, limit):
+    from omphalos.operators import medoid as module
+
+    monkeypatch.setattr(module, "TARGET", 2)
+    rng = np.random.default_rng(21)
+    rows = [(f"p{i:04}", "a" if i % 3 else "b", float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 4000, (3000, 2)))]
+    stats = {}
+    got = medoid(fixture(spark, rows), "g", "center_id", "x", "y", "utm", first_grid=4, stats=stats, broadcast_rows=limit, pairs_per_task=100_000)
+    assert picks(got) == [(g, ids[0]) for g, (ids, _) in sorted(_brute(rows, "utm").items())]
+    assert stats["rounds"] >= 2 and stats["candidates"] < 60
+
+
 def test_salted_final_stage_matches(spark):
     rng = np.random.default_rng(2)
     rows = [(f"p{i}", f"g{i % 2}", float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 1, (1200, 2)))]
@@ -168,7 +229,7 @@ def test_medoid_ties_under_rounding_keep_every_row(spark):
     rows = [("a", "g", 0.0, 0.0), ("b", "g", 0.1, 0.0), ("c", "g", 10.0, 0.0), ("d", "g", -10.0, 0.0), ("e", "g", -10.0, 0.0)]
     df = fixture(spark, rows)
     for grid in (1, 32):
-        got = medoid(df, "g", "center_id", "x", "y", "utm", tie_decimals=0, max_grid=grid)
+        got = medoid(df, "g", "center_id", "x", "y", "utm", tie_decimals=0, first_grid=grid)
         assert [i for _, i in picks(got)] == ["a", "b"]
     assert picks(medoid(df, "g", "center_id", "x", "y", "utm")) == [("g", "a")]
 
