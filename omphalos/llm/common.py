@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from functools import reduce
 
@@ -56,15 +54,6 @@ class Scratch:
         for df in frames:
             where = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             where.getFileSystem(conf).delete(where, True)
-        self.sweep()
-
-    def sweep(self) -> None:
-        """Let Spark drop the shuffle files of finished steps: it does so once the
-        driver has collected the plans that made them."""
-        for _ in range(2):
-            gc.collect()
-            self.spark.sparkContext._jvm.System.gc()
-            time.sleep(0.3)
 
 
 def hot_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, most_hot: int = 1000) -> DataFrame:

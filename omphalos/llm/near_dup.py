@@ -4,8 +4,8 @@ Documents with equal shingle sets form classes, and one of each class goes on.
 Members of a band bucket are compared with the bucket's least member (a star,
 never all pairs); the links found join them into components. Only buckets that
 still hold several components are looked at again: their members outside the
-largest component are compared, by signature and inside the tasks, with the
-members of other components, and what passes is checked exactly.
+largest component are compared inside the tasks with the members of other
+components, first by signature and then exactly, until a link joins the two.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ BANDS, ROWS = 64, 6
 #: a fifth of its bytes differ, with a deviation of 1.4 % of all; five deviations
 #: are allowed, so a link fails the sketch with probability 3e-7.
 SKETCH, SLACK = 768, 5.0
-#: Comparisons of signatures that one block of an open bucket holds; each of its two sides holds about the square root.
-BLOCK = 20_000_000
+#: Comparisons of signatures that one block of an open bucket holds (each of its two sides holds about the square
+#: root), and bytes of shingle sets of a side, about.
+BLOCK, SIDE_BYTES = 20_000_000, 16 << 20
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEEDS = np.random.default_rng(20240607)
@@ -127,7 +128,8 @@ def _alike(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes allow the similarity and whose sketches agree enough (with SLACK)."""
     total, most = SKETCH, _slack(percent)
     a, b = (cards.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    sized = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    # a head of very many pairs makes a skewed partition, which adaptive execution splits in these joins
+    sized = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,22 +141,56 @@ def _alike(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
-def _across(member: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different components in a bucket that sizes and sketches allow.
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """``doc_id, shingles``: the sorted hashes as bytes."""
 
-    ``member`` is ``key, doc_id, component``. A bucket of n members with o of
-    them outside its largest component takes o * n comparisons. Both sides are
-    cut into chunks of about sqrt(BLOCK) rows, and each chunk of the o meets each
-    chunk of the n in a block of its own, so a task holds two chunks at a time,
-    and only pairs that pass leave it.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = Shingler(words)
+        for whole in batches:
+            column = whole.column(1)
+            for a, b in takes(pc.utf8_length(column).to_pylist()):
+                found = [make.shingles(t).tobytes() for t in column.slice(a, b - a).to_pylist()]
+                yield pa.RecordBatch.from_arrays([whole.column(0).slice(a, b - a), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
+
+    return texts.select("doc_id", "text").mapInArrow(cut, "doc_id long, shingles binary")
+
+
+def _joining(doc, part, size, sketch, sets, mine, other, percent: int, most: int) -> list[tuple[int, int]]:
+    """Links of a block that join two components: at most one fewer than it has components."""
+    root, out = part.copy(), []
+    words = [np.frombuffer(x, np.uint64) for x in sets]
+    for i in np.flatnonzero(mine):
+        can = np.flatnonzero(other & (root != root[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+        for j in can[(sketch[can] != sketch[i]).sum(axis=1) <= most].tolist():
+            if root[j] != root[i]:
+                both = len(np.intersect1d(words[i], words[j], assume_unique=True))
+                if 100 * both >= percent * (len(words[i]) + len(words[j]) - both):
+                    root[root == root[j]] = root[i]
+                    out.append((int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))))
+    return out
+
+
+def _across(scratch: Scratch, member: DataFrame, cards: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between different components that share a bucket, enough of them to join what any link joins.
+
+    ``member`` is ``key, doc_id, n_shingles, component``. A bucket of n members with
+    o of them outside its largest component takes up to o * n comparisons. Both sides
+    are cut into chunks of bounded rows and bytes, and each chunk of the o meets each
+    chunk of the n in a block of its own, so a task holds two chunks at a time. A pair
+    whose components earlier links of the block have joined needs no comparison, so
+    what leaves a block is at most one link for each component in it.
     """
-    total, most = SKETCH, _slack(percent)
-    by_part = member.groupBy("key", "component").agg(F.count("*").alias("c"))
-    largest = by_part.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n")).where("n > top.c")
-    side = int(BLOCK**0.5)
-    chunks = lambda n: F.ceil(n / side).cast("long")
-    open_ = largest.select("key", F.col("top.component").alias("main"), chunks(F.col("n") - F.col("top.c")).alias("outer"), chunks(F.col("n")).alias("inner"), "n")
-    wide = hot_lookup(member, open_, "key", "n").join(cards.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    total, most, side = SKETCH, _slack(percent), BLOCK**0.5
+    by_part = member.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("s"))
+    largest = by_part.groupBy("key").agg(F.max(F.struct("c", "s", "component")).alias("top"), F.sum("c").alias("n"), F.sum("s").alias("s")).where("n > top.c")
+    chunks = lambda n, s: F.ceil(F.greatest(n / side, 8 * s / SIDE_BYTES)).cast("long")
+    open_ = largest.select(
+        "key", F.col("top.component").alias("main"), "n", chunks(F.col("n") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("outer"), chunks(F.col("n"), F.col("s")).alias("inner")
+    )
+    dealt = scratch.save(hot_lookup(member, scratch.save(open_, "open"), "key", "n"), "dealt")
+    ids = dealt.select("doc_id").distinct()
+    sets = scratch.save(_sets(texts.join(ids.hint("merge"), "doc_id", "left_semi"), words), "sets")
+    wide = dealt.join(cards.select("doc_id", "sketch").hint("merge"), "doc_id").join(sets.hint("merge"), "doc_id")
     mark, inner, outer, block = F.xxhash64("doc_id"), F.col("inner"), F.col("outer"), F.col("block")
     wide = wide.withColumns({"outside": F.col("component") != F.col("main"), "i": F.pmod(mark, outer), "j": F.pmod(mark, inner)})
     # block i * inner + j is where chunk i of the outsiders meets chunk j of all members
@@ -162,47 +198,37 @@ def _across(member: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     as_outsider = F.transform(F.sequence(F.lit(0).cast("long"), inner - 1), lambda j: F.col("i") * inner + j)
     wide = wide.withColumn("block", F.explode(F.when(F.col("outside"), F.array_union(as_member, as_outsider)).otherwise(as_member)))
     mine, other = F.col("outside") & (F.floor(block / inner) == F.col("i")), block % inner == F.col("j")
-    wide = wide.select("key", "block", "doc_id", "component", "n_shingles", "sketch", mine.alias("mine"), other.alias("other"))
-
-    def near(doc, part, size, sketch, mine, other) -> tuple[np.ndarray, np.ndarray]:
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i in np.flatnonzero(mine):
-            can = np.flatnonzero(other & (part != part[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
-            can = can[(sketch[can] != sketch[i]).sum(axis=1) <= most]
-            a.append(np.minimum(doc[can], doc[i]))
-            b.append(np.maximum(doc[can], doc[i]))
-        return np.concatenate(a), np.concatenate(b)
+    wide = wide.select("key", "block", "doc_id", "component", "n_shingles", "sketch", "shingles", mine.alias("mine"), other.alias("other"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None  # rows of a bucket that goes on in the next batch
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] | None = None  # rows of a block that goes on in the next batch
+        found: set[tuple[int, int]] = set()
 
         def ended(columns: list[np.ndarray], last: bool) -> list[np.ndarray]:
-            bucket = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)) + 1
-            edges = [0, *bucket.tolist(), *([len(columns[0])] if last else [])]
+            edge = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)) + 1
+            edges = [0, *edge.tolist(), *([len(columns[0])] if last else [])]
             for x, y in zip(edges, edges[1:], strict=False):
-                found.append(near(*(c[x:y] for c in columns[2:])))
+                found.update(_joining(*(c[x:y] for c in columns[2:]), percent, most))
             return [c[edges[-1] :] for c in columns]
 
         def pairs() -> pa.RecordBatch:
-            a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ((), ())))
-            once = np.unique(np.stack([a, b]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(once[0]), pa.array(once[1])], names=["a", "b"])
+            a, b = zip(*sorted(found), strict=True) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "doc_id", "component", "n_shingles")]
             columns.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, total))
-            columns += [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mine", "other")]
+            columns += [batch.column(c).to_numpy(zero_copy_only=False) for c in ("shingles", "mine", "other")]
             held = ended(columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)], False)
-            if sum(len(x) for x, _ in found) > 100_000:
+            if len(found) > 100_000:
                 yield pairs()
                 found.clear()
         if held is not None:
             ended(held, True)
         yield pairs()
 
-    dealt = wide.repartition("key", "block").sortWithinPartitions("key", "block")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    blocks = wide.repartition("key", "block").sortWithinPartitions("key", "block")
+    return blocks.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -210,7 +236,6 @@ def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int,
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     # a merge join at every size: the ids grow with the documents
     texts = scratch.save(texts.join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
-    scratch.sweep()
     a, b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,14 +243,14 @@ def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int,
         for batch in batches:
             good = []
             for i, x, y in zip(batch.column("a").to_pylist(), batch.column("ta"), batch.column("tb"), strict=True):
-                if last[0] != i:  # the pairs of a star follow each other
+                if last[0] != i:  # the last join sorts by a, so the pairs of a star follow each other
                     last = (i, make.shingles(x.as_py()))
                 other = make.shingles(y.as_py())
                 both = len(np.intersect1d(last[1], other, assume_unique=True))
                 good.append(100 * both >= percent * (len(last[1]) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
+    return pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -249,7 +274,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = scratch.save(reps.select("doc_id", "n_shingles", "keys", "sketch"), "reps")
     sizes = scratch.save(cards.select("doc_id", "n_shingles"), "sizes")
     scratch.drop(cards)
-    buckets = reps.select(F.explode("keys").alias("key"), "doc_id")
+    buckets = reps.select(F.explode("keys").alias("key"), "doc_id", "n_shingles")
     heads = scratch.save(buckets.groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
     shared = scratch.save(hot_lookup(buckets, heads, "key", "n"), "shared")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -257,12 +282,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     near = scratch.save(_alike(stars, reps, percent), "near")
     found = scratch.save(_confirmed(scratch, near, texts, words, percent), "found")
     parts = connected_components(scratch, found).withColumnsRenamed({"node": "doc_id"})
-    member = shared.select("key", "doc_id").join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    member = shared.select("key", "doc_id", "n_shingles").join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     member = scratch.save(member, "member")
     scratch.drop(shared, heads)
-    across = scratch.save(_across(member, reps, percent), "across")
+    more = scratch.save(_across(scratch, member, reps, texts, words, percent), "more")
     scratch.drop(member)
-    more = scratch.save(_confirmed(scratch, across, texts, words, percent), "more")
     parts = connected_components(scratch, found.unionByName(more)).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
     # a class has the component of the document that stands for it
     named = several.selectExpr("rep", "n").join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left").select("rep", F.coalesce("component_id", "rep").alias("component_id"), "n")

@@ -462,12 +462,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     scratch.drop(marks, classes)
     texts = scratch.save(marked.join(copies.hint("merge"), ["doc_id", "mark"], "left_anti").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "texts")
     total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    scratch.sweep()
     limit = max(HOT, total // HOT_SHARE)
     found = scratch.save(_shared_anchors(texts.select("row", "text"), max(12, -(-total // TEXT_BYTES)), limit), "anchors")
     size = found.count() * (SPAN + REACH)
     hot = np.sort(found.where("hot IS NOT NULL").select("hot").toArrow().column(0).to_numpy())
-    scratch.sweep()
     places = found.where("row IS NOT NULL").groupBy("row").agg(F.collect_list("place").alias("places"))
     around = texts.join(places.hint("shuffle_hash"), "row").select("row", "doc_id", "places", "text")
     seen = scratch.save(_repeated(around, max(12, -(-size // SORT_BYTES)), hot), "runs")

@@ -132,17 +132,41 @@ def test_blocks_of_an_open_bucket_hold_few_rows(spark, outsiders, monkeypatch):
     frame = type(spark.range(0))
     dealt, keep = [], frame.sortWithinPartitions
     monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *a: dealt.append(self) or keep(self, *a))
-    rng, n = np.random.default_rng(3), 600
-    sketches = rng.integers(0, 256, (n, near_dup.SKETCH), np.uint8)
-    sketches[1::2] = sketches[::2]  # each odd row is near the one before
-    cards = spark.createDataFrame([(i, 50, sketches[i].tobytes()) for i in range(n)], "doc_id long, n_shingles long, sketch binary")
+    n = 600
+    rows = [(i, " ".join(f"w{i - i % 2}x{k}" for k in range(50)) + " end" * (i % 2)) for i in range(n)]  # each odd row is near the one before
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    cards = near_dup.signed(texts, "doc_id", "text", 4)
     component = [i if i < outsiders else 10_000 for i in range(n)]
-    member = spark.createDataFrame([(7, i, component[i]) for i in range(n)], "key long, doc_id long, component long")
-    got = near_dup._across(member, cards, 80).collect()
+    member = spark.createDataFrame([(7, i, 47 + i % 2, component[i]) for i in range(n)], "key long, doc_id long, n_shingles long, component long")
+    got = near_dup._across(Scratch(spark, "test"), member, cards, texts, 4, 80).collect()
     assert sorted(map(tuple, got)) == [(i, i + 1) for i in range(0, n, 2) if component[i] != component[i + 1]]
     assert dealt[0].groupBy("key", "block").count().agg(F.max("count")).first()[0] <= 100
 
 
+def test_copies_that_share_a_bucket_give_few_links(spark, monkeypatch):
+    """2,000 near copies, each a component of its own: at most one link for each, not a pair for each two."""
+    monkeypatch.setattr(near_dup, "BLOCK", 1_000_000)
+    n = 2000
+    texts = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(60)) + f" x{i}") for i in range(n)], "doc_id long, text string")
+    cards = near_dup.signed(texts, "doc_id", "text", 4)
+    member = spark.range(n).select(F.lit(1).cast("long").alias("key"), F.col("id").alias("doc_id"), F.lit(58).cast("long").alias("n_shingles"), F.col("id").alias("component"))
+    links = near_dup._across(Scratch(spark, "test"), member, cards, texts, 4, 80)
+    got = [tuple(r) for r in links.collect()]
+    blocks = 2 * 2  # chunks of outsiders times chunks of members
+    assert len(got) <= blocks * n
+    top = list(range(n))
+
+    def find(x):
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    for a, b in got:
+        top[find(b)] = find(a)
+    assert len({find(x) for x in range(n)}) == 1
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = near_dup.op7_minhash_near_dedup(table(spark)).collect()
     assert len(got) == len(AWKWARD)
