@@ -13,6 +13,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
@@ -25,6 +26,8 @@ NONE = np.int64(1) << 62
 LANE = 128
 #: Pre-tokens that a worker remembers, and code points that it takes at once.
 CACHE, TAKE = 300_000, 4_000_000
+#: Bytes, about, of the pre-tokens that an encoding worker remembers, and code points that it takes at once.
+CACHE_BYTES, ENCODED = 24 << 20, 1_000_000
 
 _SIMPLE = [chr(c) for c in range(0x300) if c != 0x130]
 _OTHER = re.compile("[^\x00-įı-˿]")
@@ -236,48 +239,66 @@ def takes(lengths: Iterable[int | None], most: int = TAKE) -> Iterator[tuple[int
         yield start, at + 1
 
 
-def bpe_encode(docs: DataFrame, tokenizer_path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) and ``decoded`` (string) of the whole text.
+#: What ``bpe_encode`` can add, by its type.
+OUTPUTS = {"ids": "array<int>", "decoded": "string", "decoded_sha256": "string"}
+
+
+def bpe_encode(docs: DataFrame, tokenizer_path: str, text: str = "text", want: tuple[str, ...] = ("ids", "decoded"), keep_text: bool = True) -> DataFrame:
+    """``docs`` with those of OUTPUTS that are in ``want``: ids and decoded form of the whole text, or its digest.
 
     Null and empty texts have no ids and decode to the empty string. No shuffle:
-    each Arrow batch is encoded where it is read. ``ids`` and ``decoded`` replace
-    columns of those names.
+    each Arrow batch is encoded where it is read. What is added replaces columns of
+    those names. Without ``keep_text`` the text stays in the worker.
     """
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
-    plain = docs.drop("ids", "decoded")
-    schema = plain.select("*", F.lit(None).cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
-    at = plain.columns.index(text)
+    plain = docs.drop(*want)
+    kept = [c for c in plain.columns if keep_text or c != text]
+    schema = plain.select(*kept, *[F.lit(None).cast(OUTPUTS[w]).alias(w) for w in want]).schema
+    at, stay = plain.columns.index(text), [plain.columns.index(c) for c in kept]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = bpe_of(spec.value)
         known: dict[str, tuple[list[int], str]] = {}
+        held = 0
         ints = list(range(max(bpe.tokens) + 1))
+
+        def decoded(pieces: list[str]) -> str:
+            return " ".join([known[p][1] for p in pieces])
+
         for whole in batches:
             column = whole.column(at)
-            for a, b in takes(pa.compute.utf8_length(column).to_pylist()):
-                batch = whole.slice(a, b - a)
+            for a, b in takes(pa.compute.utf8_length(column).to_pylist(), ENCODED):
                 split = [bpe.pieces(t) if t else [] for t in column.slice(a, b - a).to_pylist()]
-                if len(known) > CACHE:
+                if held > CACHE_BYTES:
                     known.clear()
+                    held = 0
                 fresh = set(chain.from_iterable(split)).difference(known)
                 for piece, ids in bpe.encode_pieces(fresh).items():
                     known[piece] = ([ints[i] for i in ids], bpe.decode(ids))
-                ids = [np.fromiter(chain.from_iterable([known[p][0] for p in ps]), np.int32) for ps in split]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
-                decoded = pa.array([" ".join([known[p][1] for p in ps]) for ps in split], pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists, decoded], names=schema.names)
+                    held += 300 + 2 * len(piece) + 8 * len(ids) + len(known[piece][1])
+                made = []
+                for w in want:
+                    if w == "ids":
+                        ids = [np.fromiter(chain.from_iterable([known[p][0] for p in ps]), np.int32) for ps in split]
+                        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                        made.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))))
+                    elif w == "decoded":
+                        made.append(pa.array([decoded(ps) for ps in split], pa.string()))
+                    else:
+                        made.append(pa.array([sha256(decoded(ps).encode()).hexdigest() for ps in split], pa.string()))
+                rest = whole.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*[rest.column(i) for i in stay], *made], names=schema.names)
 
     return plain.mapInArrow(encode, schema)
 
 
 def op10_bpe_encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and digests of the ids and of the decoded text of every document."""
-    out = bpe_encode(docs.select("doc_id", "text"), tokenizer_path)
+    out = bpe_encode(docs.select("doc_id", "text"), tokenizer_path, want=("ids", "decoded_sha256"), keep_text=False)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "decoded_sha256",
     )

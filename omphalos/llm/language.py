@@ -216,6 +216,16 @@ def training_pieces(labelled: DataFrame, doc_id: str, text: str, lang: str) -> l
     return out
 
 
+def _judge(model: ByteGru | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    asked = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    if asked:
+        pooled = model.pooled([texts[i].encode() for i in asked])
+        for i, k, p in zip(asked, pooled.argmax(axis=1).tolist(), pooled.max(axis=1).tolist(), strict=True):
+            names[i], scores[i] = model.labels[k], min(1.0, p)
+    return names, scores
+
+
 def predict_language(docs: DataFrame, net: ByteGru | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the pooled probability of that language over the whole text.
 
@@ -232,18 +242,32 @@ def predict_language(docs: DataFrame, net: ByteGru | None, text: str = "text") -
         for whole in batches:
             column = whole.column(at)
             for a, b in takes(pc.utf8_length(column).to_pylist()):
-                texts = column.slice(a, b - a).to_pylist()
-                asked = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
-                names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                if asked:
-                    pooled = model.pooled([texts[i].encode() for i in asked])
-                    for i, k, p in zip(asked, pooled.argmax(axis=1).tolist(), pooled.max(axis=1).tolist(), strict=True):
-                        names[i], scores[i] = model.labels[k], min(1.0, p)
+                names, scores = _judge(model, column.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([*whole.slice(a, b - a).columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return plain.mapInArrow(predict, schema)
 
 
+def language_verdict(docs: DataFrame, net: ByteGru, text: str = "text") -> Column:
+    """A column of ``docs``: struct ``lang_pred, score`` as in ``predict_language``. Only the text goes
+    to the workers and only the verdict comes back, so the rows stay where they are."""
+    held = docs.sparkSession.sparkContext.broadcast((net.labels, net.w))
+
+    @F.arrow_udf("lang_pred string, score double")
+    def verdict(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = ByteGru(*held.value)
+        for column in parts:
+            names: list[str] = []
+            scores: list[float] = []
+            for a, b in takes(pc.utf8_length(column).to_pylist()):
+                found = _judge(model, column.slice(a, b - a).to_pylist())
+                names += found[0]
+                scores += found[1]
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+
+    return verdict(F.col(text))
+
+
 def held_out(doc_id: str) -> Column:
     """Whether a document is kept from training: crc32 of its id as text, divisible by 5; null ids are held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
