@@ -25,6 +25,16 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 ORACLE_SQL = None
 
 
+def _aside(docs: DataFrame, *made: str) -> dict[str, str]:
+    """Free names for the columns of ``docs`` that a stage's own would replace."""
+    names = {}
+    for c in made:
+        names[c] = f"__{c}"
+        while names[c] in docs.columns:
+            names[c] = f"_{names[c]}"
+    return names
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: null, empty or without letters, or below LANGUAGE_SCORE.
 
@@ -35,29 +45,29 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     net = language.train(language.training_pieces(train, "doc_id", "text", "lang"))
     if net is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    judged = language.predict_language(docs.withColumnsRenamed({"lang_pred": "__lang_pred", "score": "__score"}), net)
-    kept = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"__lang_pred": "lang_pred", "__score": "score"}).select(*docs.columns)
+    verdict = language.language_verdict(docs, net)
+    return docs.where((verdict["lang_pred"] != language.UNKNOWN) & (verdict["score"] >= LANGUAGE_SCORE))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each group of near-duplicates, once.
 
     Texts without words are no one's duplicate, and rows without an id all
-    stay; of rows that share an id one stays.
+    stay; of rows that share an id the one of least text (then by the other columns) stays.
     """
     judged = near_dup.near_duplicates(docs, words=SHINGLE, percent=SIMILAR)
     named = Scratch(spark, "pipeline").save(judged.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n")), "kept")
     stay = named.where("kept")
     again = stay.where("n > 1").select("doc_id")
     once = docs.join(stay.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    rest = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    least = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    rest = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(least.alias("least")).select("doc_id", "least.*").select(*docs.columns)
     return once.unionByName(rest).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of benchmark words; null and empty texts stay."""
-    names = {c: f"__{c}" for c in ("n_words", "hits", "items")}
+    names = _aside(docs, "n_words", "hits", "items")
     found = decontam.find_benchmark(docs.withColumnsRenamed(names), table(spark, sf_dir, "benchmark"))
     kept = found.where(F.size("hits") == 0).drop(*names)
     return kept.withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
@@ -65,7 +75,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Redacts personal data in every text and renews ``n_chars``; null and empty texts stay as they are."""
-    names = {c: f"__{c}" for c in ("base", "added")}
+    names = _aside(docs, "base", "added")
     found = pii.find_pii(docs.withColumnsRenamed(names), pii.train_model(docs))
     text = F.when(F.col("text").isNotNull(), pii.redact(F.col("text"), F.concat("base", "added")))
     out = found.withColumn("text", text).drop(*names)
@@ -76,8 +86,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their number and a digest of what they decode to; null and empty texts have none."""
-    out = bpe.bpe_encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER)
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = bpe.bpe_encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, want=("ids", "decoded_sha256"), keep_text=False)
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
