@@ -27,7 +27,7 @@ LANE = 128
 #: Pre-tokens that a worker remembers, and code points that it takes at once.
 CACHE, TAKE = 300_000, 4_000_000
 #: Bytes, about, of the pre-tokens that an encoding worker remembers, and code points that it takes at once.
-CACHE_BYTES, ENCODED = 24 << 20, 1_000_000
+CACHE_BYTES, ENCODED = 80 << 20, 2_000_000
 
 _SIMPLE = [chr(c) for c in range(0x300) if c != 0x130]
 _OTHER = re.compile("[^\x00-įı-˿]")
