@@ -193,7 +193,9 @@ def train(pieces: list[tuple[str, str]], steps: int = STEPS, seed: int = 1) -> B
 def training_pieces(labelled: DataFrame, doc_id: str, text: str, lang: str) -> list[tuple[str, str]]:
     """At most PER_LANGUAGE pieces of each language and PIECES of all, of PIECE code points each.
 
-    Rows are chosen by the hash of their id, pieces start at hashed places.
+    Rows are chosen by a hash of their id and text, pieces start at hashed places, and
+    equal pieces of equal rows are fetched once, so what reaches the driver is bounded
+    however often an id or a row repeats.
     Rows without text or language are never chosen.
     """
     usable = labelled.where(F.col(text).isNotNull() & (F.col(text) != "") & F.col(lang).isNotNull())
@@ -202,11 +204,11 @@ def training_pieces(labelled: DataFrame, doc_id: str, text: str, lang: str) -> l
         return []
     each = max(1, min(PER_LANGUAGE, PIECES // len(counts)))
     share = {r[0]: min(1.0, 1.5 * each / r[1] + 16 / r[1]) for r in counts}
-    mark = F.xxhash64(F.col(doc_id).cast("string"), F.lit("sample"))
+    mark = F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.lit("sample"))  # rows that share an id or a text are drawn apart
     rates = usable.sparkSession.createDataFrame([(k, v) for k, v in share.items()], f"`{lang}` {dict(usable.dtypes)[lang]}, __rate double")
     start = F.pmod(F.xxhash64(mark), F.greatest(F.length(text) - PIECE, F.lit(0)) + 1) + 1
     chosen = usable.join(F.broadcast(rates), lang).where(F.pmod(mark, F.lit(1 << 20)) < F.col("__rate") * (1 << 20))
-    rows = chosen.select(F.col(lang).alias("l"), mark.alias("m"), F.substring(F.col(text), start.cast("int"), F.lit(PIECE)).alias("p")).collect()
+    rows = chosen.select(F.col(lang).alias("l"), mark.alias("m"), F.substring(F.col(text), start.cast("int"), F.lit(PIECE)).alias("p")).distinct().collect()
     taken: dict[str, int] = {}
     out = []
     for r in sorted(rows, key=lambda r: (r.l, r.m, r.p)):

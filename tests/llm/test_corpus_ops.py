@@ -326,3 +326,15 @@ def test_suffix_dedup_splits_a_hot_anchor(spark, most, monkeypatch):
 
 def test_suffix_dedup_of_an_empty_table(spark):
     assert suffix_dedup.op9_suffix_dedup(table(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("texts", [1, 30_000])
+def test_training_fetches_few_rows_of_one_id(spark, monkeypatch, texts):
+    """30,000 rows of one id, with one text or with as many: a bounded number of pieces comes to the driver."""
+    df = spark.range(30_000).select(F.lit(113).alias("doc_id"), F.concat(F.lit("some words "), (F.col("id") % texts).cast("string")).alias("text"), F.lit("en").alias("lang"))
+    frame, fetched = type(df), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
+    pieces = language.training_pieces(df, "doc_id", "text", "lang")
+    assert max(map(len, fetched)) <= 1000 and len(pieces) <= language.PER_LANGUAGE
+    assert len(pieces) >= (1 if texts > 1 else 0)
