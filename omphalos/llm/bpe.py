@@ -27,7 +27,7 @@ LANE = 128
 #: Pre-tokens that a worker remembers, and code points that it takes at once.
 CACHE, TAKE = 300_000, 4_000_000
 #: Bytes, about, of the pre-tokens that an encoding worker remembers, and code points that it takes at once.
-CACHE_BYTES, ENCODED = 80 << 20, 2_000_000
+CACHE_BYTES, ENCODED = 160 << 20, 4_000_000
 
 _SIMPLE = [chr(c) for c in range(0x300) if c != 0x130]
 _OTHER = re.compile("[^\x00-įı-˿]")
@@ -243,12 +243,15 @@ def takes(lengths: Iterable[int | None], most: int = TAKE) -> Iterator[tuple[int
 OUTPUTS = {"ids": "array<int>", "decoded": "string", "decoded_sha256": "string"}
 
 
-def bpe_encode(docs: DataFrame, tokenizer_path: str, text: str = "text", want: tuple[str, ...] = ("ids", "decoded"), keep_text: bool = True) -> DataFrame:
+def bpe_encode(docs: DataFrame, tokenizer_path: str, text: str = "text", want: tuple[str, ...] = ("ids", "decoded"), keep_text: bool = True,
+               cache_bytes: int = CACHE_BYTES, take: int = ENCODED) -> DataFrame:
     """``docs`` with those of OUTPUTS that are in ``want``: ids and decoded form of the whole text, or its digest.
 
     Null and empty texts have no ids and decode to the empty string. No shuffle:
     each Arrow batch is encoded where it is read. What is added replaces columns of
-    those names. Without ``keep_text`` the text stays in the worker.
+    those names. Without ``keep_text`` the text stays in the worker. A worker remembers
+    about ``cache_bytes`` of pre-tokens and takes about ``take`` code points at once;
+    both change memory and speed only.
     """
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
@@ -268,9 +271,9 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, text: str = "text", want: t
 
         for whole in batches:
             column = whole.column(at)
-            for a, b in takes(pa.compute.utf8_length(column).to_pylist(), ENCODED):
+            for a, b in takes(pa.compute.utf8_length(column).to_pylist(), take):
                 split = [bpe.pieces(t) if t else [] for t in column.slice(a, b - a).to_pylist()]
-                if held > CACHE_BYTES:
+                if held > cache_bytes:
                     known.clear()
                     held = 0
                 fresh = set(chain.from_iterable(split)).difference(known)
