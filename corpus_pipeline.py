@@ -19,6 +19,9 @@ from omphalos.llm.common import Scratch, table
 LANGUAGE_SCORE = 0.5
 #: Shingle words and similarity (percent) of near-duplicates.
 SHINGLE, SIMILAR = 5, 80
+#: Bytes of pre-tokens that an encoding worker remembers here, where it shares the executor with what the
+#: stages before have left in memory, and code points that it takes at once.
+ENCODER_BYTES, ENCODER_TAKE = 24 << 20, 1_000_000
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 #: The sequence cannot be said in SQL (trained models, a tokenizer); tests hold it against a plain version.
@@ -86,7 +89,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their number and a digest of what they decode to; null and empty texts have none."""
-    out = bpe.bpe_encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, want=("ids", "decoded_sha256"), keep_text=False)
+    out = bpe.bpe_encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, want=("ids", "decoded_sha256"), keep_text=False, cache_bytes=ENCODER_BYTES, take=ENCODER_TAKE)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
