@@ -13,6 +13,9 @@ from omphalos.session import scratch_dir
 #: Words everywhere are runs of characters other than these (space, tab .. CR).
 BLANK = r"[\x20\x09-\x0D]+"
 
+#: Spark's setting by which a query's shuffle files are removed at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,7 +35,7 @@ class Scratch:
 
     Each is written once as Parquet and read back with its known schema, so a
     lost executor rereads files instead of recomputing; ``drop`` removes those
-    that no later step reads.
+    that no later step reads. Shuffle files of a table go once it is written.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -43,7 +46,12 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.base}/{self.count:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
