@@ -2,7 +2,7 @@
 
 Every SPAN-byte window belongs to its anchor, the (leftmost) string of some
 bytes in it with the least hash, so equal windows have equal anchors. Windows in
-a row with the same anchor make one piece of text. Pieces whose anchor two rows
+a row with equal anchors make one piece of text. Pieces whose anchor two rows
 have go to the shard of its hash, so equal windows meet; each shard sorts the
 suffixes of the different pieces by external induction (``suffix_sort``), whose
 common-prefix values give the groups of equal windows. What a task already
@@ -34,6 +34,8 @@ SIZES = (32, 44, SPAN)
 #: Anchors that a task looks at together, bytes of text for each task that compares anchors, bytes of pieces for
 #: each task that sorts them (about 100 bytes of memory each), shards of a task, and bytes that are hashed together.
 CHUNK, TEXT_BYTES, SORT_BYTES, FINE, BLOCK = 1_500_000, 12_000_000, 2_500_000, 4, 1 << 18
+#: Windows of a piece at most (a byte of a cut holds them).
+WINDOWS = 200
 #: Different pieces from which on an anchor is hot, and bytes of text for each more of them (so hot anchors are few).
 HOT, HOT_SHARE = 10_000, 10_000_000
 
@@ -89,8 +91,9 @@ _LOW = np.uint64(0xFFFFFFFF)
 def pieces(raw: np.ndarray, sizes: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """``(first, last, place, key, mark)`` of the pieces of the strings of ``sizes`` bytes that follow each other in ``raw``.
 
-    A piece is the windows from ``first`` to ``last``, which have the anchor at
-    ``place`` in common; ``key`` is the anchor's hash, ``mark`` one of the piece.
+    A piece is the windows from ``first`` to ``last``, at most WINDOWS, whose anchors
+    are equal to the one at ``place``, that of the first; ``key`` is the anchor's hash,
+    ``mark`` one of the piece. So text of a short period makes few pieces.
     """
     counts = np.maximum(sizes - SPAN + 1, 0)
     window = _ranges(np.cumsum(sizes) - sizes, counts)
@@ -101,8 +104,10 @@ def pieces(raw: np.ndarray, sizes: np.ndarray, size: int) -> tuple[np.ndarray, .
     own = hashes.all(size)
     least = _over((own & ~_LOW) | np.arange(len(own), dtype=np.uint64), SPAN - size + 1)
     place = (least[window] & _LOW).astype(np.int64)
-    new = np.append(True, (place[1:] != place[:-1]) | (window[1:] != window[:-1] + 1))
-    at = np.flatnonzero(new)
+    at = np.flatnonzero(np.append(True, (own[place[1:]] != own[place[:-1]]) | (window[1:] != window[:-1] + 1)))
+    length = np.diff(np.append(at, len(window)))
+    parts = -(-length // WINDOWS)
+    at = np.repeat(at, parts) + _ranges(np.zeros(len(at), np.int64), parts) * WINDOWS
     first, last, place = window[at], window[np.append(at[1:], len(window)) - 1], place[at]
     return first, last, place, own[place] & _KEY, (hashes.of(first, last + SPAN) >> np.uint64(33)).astype(np.uint32)
 
