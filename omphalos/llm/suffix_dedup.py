@@ -50,7 +50,7 @@ class Hashes:
         n = len(raw) + 1
         if base not in _powers or len(_powers[base][0]) < n:
             inverse = pow(base, -1, 1 << 64)
-            _powers[base] = tuple(np.cumprod(np.concatenate([[1], np.full(n, x, np.uint64)]).astype(np.uint64)) for x in (base, inverse))
+            _powers[base] = tuple(np.append(np.uint64(1), np.cumprod(np.full(n, x, np.uint64))) for x in (base, inverse))
         up, self.down = _powers[base]
         self.sums = np.zeros(n, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: n - 1], out=self.sums[1:])

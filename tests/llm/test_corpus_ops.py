@@ -266,6 +266,23 @@ def test_suffix_order(memory, monkeypatch):
         assert (order.tolist(), shared.tolist()) == plain_order(t.tolist())
 
 
+def test_hashes_tell_strings_apart():
+    """Equal strings have equal hashes wherever they stand, others (nearly always) don't."""
+    rng = np.random.default_rng(3)
+    raw = rng.integers(97, 100, 50_000).astype(np.uint8)
+    raw[40_000:45_000] = raw[100:5_100]
+    hashes = suffix_dedup.Hashes(raw)
+    own = hashes.all(32)
+    assert (own[40_000:44_969] == own[100:5_069]).all()
+    assert len(np.unique(own)) == len({raw[i : i + 32].tobytes() for i in range(len(own))})
+    assert (hashes.of(np.arange(len(own)), np.arange(len(own)) + 32) == own).all()
+    # a piece holds each window once, and its anchors are spread
+    first, last, place, key, _ = suffix_dedup.pieces(raw, np.array([30_000, 20, 19_980]), 32)
+    assert (last - first + 1).sum() == 30_000 - 49 + 19_980 - 49
+    assert ((place >= first) & (place <= first + 18)).all()
+    assert len(np.unique(key % np.uint64(48))) == 48 and len(first) < len(raw) / 8
+
+
 def plain_repeats(rows, span=50):
     first = {}
     for i, t in rows:
