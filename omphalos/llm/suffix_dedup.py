@@ -301,8 +301,8 @@ def repeated_windows(bodies: pa.Array, docs: np.ndarray) -> tuple[np.ndarray, np
     return _union(owner[hit], start, start + SPAN)
 
 
-def _related(keys: np.ndarray, bodies: pa.Array, lefts: np.ndarray) -> np.ndarray:
-    """Which of the different bodies have an anchor that another has too; only these may share a window."""
+def _related(keys: np.ndarray) -> np.ndarray:
+    """Which of the different bodies, with anchors ``keys``, have an anchor that another has too; only these may share a window."""
     _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
     return counts[which] > 1
 
@@ -321,7 +321,7 @@ def _sorted_runs(key: np.ndarray, doc: np.ndarray, row: np.ndarray, first: np.nd
     which, bodies, least = _different(bodies, doc)
     keys = np.empty(len(bodies), key.dtype)
     keys[which] = key
-    asked = np.flatnonzero(_related(keys, bodies, np.zeros(len(bodies), np.int64)))
+    asked = np.flatnonzero(_related(keys))
     body, start, end = repeated_windows(bodies.take(pa.array(asked)), least[asked])
     body = asked[body]
     size = pc.binary_length(bodies).to_numpy(zero_copy_only=False)

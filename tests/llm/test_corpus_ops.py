@@ -323,10 +323,10 @@ def test_suffix_dedup_splits_a_hot_anchor(spark, most, monkeypatch):
     """A phrase of all documents, other text around most of them: no task sorts more than a few of its surroundings."""
     related = suffix_dedup._related
 
-    def bounded(keys, bodies, lefts):
+    def bounded(keys):
         _, sizes = np.unique(keys, return_counts=True)
         assert not len(sizes) or sizes.max() <= most
-        return related(keys, bodies, lefts)
+        return related(keys)
 
     monkeypatch.setattr(suffix_dedup, "HOT", most, raising=False)
     monkeypatch.setattr(suffix_dedup, "_related", bounded)
