@@ -35,11 +35,13 @@ class Scratch:
 
     Each is written once as Parquet and read back with its known schema, so a
     lost executor rereads files instead of recomputing; ``drop`` removes those
-    that no later step reads. Shuffle files of a table go once it is written.
+    that no later step reads. With ``tidy`` the shuffle files of a table go once
+    it is written.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
         self.spark = spark
+        self.tidy = tidy
         self.base = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
@@ -47,7 +49,7 @@ class Scratch:
         self.count += 1
         path = f"{self.base}/{self.count:03d}-{name}"
         before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
+        self.spark.conf.set(CLEANUP, "true" if self.tidy else before)
         try:
             df.write.option("compression", "zstd").parquet(path)
         finally:

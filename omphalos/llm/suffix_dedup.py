@@ -460,7 +460,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     and text columns are read.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "suffix-dedup")
+    scratch = Scratch(spark, "suffix-dedup", tidy=True)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     long_enough = F.col("doc_id").isNotNull() & (n_bytes >= SPAN)
