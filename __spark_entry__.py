@@ -172,6 +172,25 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def q_clean_observed(spark, sf):
+    """Rows kept and dropped as the cleaning pass itself counted them while its result was written."""
+    out, counts = clean.clean_observed(pts.customer_raw_records(spark, sf))
+    out.write.parquet(_scratch(spark, "clean-observed"))
+    rows = [(k, n) for k, n in counts.get.items() if n]  # one for each outcome, five at most
+    return spark.createDataFrame(rows, "outcome string, rows long")
+
+
+def q_json_array_roundtrip(spark, sf):
+    """Centers written as multi-line JSON arrays of up to 500 records, a file each, and read back."""
+    path = _scratch(spark, "json-array")
+    centers = _layout(pts.customer_centers(spark, sf))
+    part = F.floor(F.col("center_id").cast("long") / 500).alias("part")
+    arrays = centers.select(F.struct(*centers.columns).alias("r"), part).groupBy("part").agg(F.collect_list("r").alias("all"))
+    text = F.to_json("all", {"pretty": "true"}).alias("value")
+    arrays.select(text).write.option("maxRecordsPerFile", 1).text(path)
+    return _round(io.load_centers(spark, path, "json"), {"longitude": DEG, "latitude": DEG})
+
+
 def _roundtrip(fmt: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
         path = _scratch(spark, f"roundtrip-{fmt}")
@@ -325,6 +344,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "map_layers": q_map_layers,
         "membership_check": q_membership,
         "replicated_centroid": q_replicated_centroid,
+        "clean_observed": q_clean_observed,
+        "io_roundtrip_json_array": q_json_array_roundtrip,
         "io_roundtrip_jsonl": _roundtrip("jsonl"),
         "io_roundtrip_csv": _roundtrip("csv"),
         "io_roundtrip_parquet": _roundtrip("parquet"),
@@ -661,6 +682,8 @@ SELECT ownership, center_id, round(distance, {M}) AS distance FROM rk WHERE r =
 tot AS (SELECT a.ownership, a.center_id, sum(sqrt((a.utm_x - b.utm_x) ** 2 + (a.utm_y - b.utm_y) ** 2)) AS t
         FROM mirrored a JOIN mirrored b ON a.ownership = b.ownership GROUP BY a.ownership, a.center_id)"""
     sql |= {
+        "clean_observed": sql["reject_counts"],
+        "io_roundtrip_json_array": layout,
         "io_roundtrip_jsonl": layout,
         "io_roundtrip_csv": layout,
         "io_roundtrip_parquet": layout,

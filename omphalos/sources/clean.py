@@ -10,7 +10,7 @@ column expressions over the raw rows; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.projection import with_lonlat
@@ -32,6 +32,10 @@ WHITESPACE_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
 _EDGES = rf"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
 
 
+#: What becomes of a row.
+OUTCOMES = ("kept", "inactive", "missing coordinate", "blank name", "bad coordinate")
+
+
 def strip_text(c) -> Column:
     """``(value or "").strip()`` as a column expression."""
     col = F.col(c) if isinstance(c, str) else c
@@ -83,7 +87,11 @@ def classify(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
 
 def clean_records(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     """Usable records in the centers layout with longitude/latitude."""
-    rows = classify(raw, on_bad).filter(F.col("reject_reason").isNull())
+    return _usable(classify(raw, on_bad))
+
+
+def _usable(classified: DataFrame) -> DataFrame:
+    rows = classified.filter(F.col("reject_reason").isNull())
     rows = rows.select(
         F.coalesce(F.col("CODIGO"), F.lit("")).alias("center_id"),  # the id is not trimmed
         *[strip_text(k).alias(v) for k, v in RENAMES.items()],
@@ -92,6 +100,21 @@ def clean_records(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     return with_lonlat(rows, "utm_x", "utm_y")
 
 
+def clean_observed(raw: DataFrame, on_bad: str = "reject") -> tuple[DataFrame, Observation]:
+    """``clean_records`` and, from the same scan, its counts of rows kept and dropped (P5).
+
+    The observation's ``get`` has the rows of each outcome once the first action
+    on the frame has ended; before, it waits. Counts are of what that action
+    read (all rows, unless it stops early, as ``limit`` does); where a lost
+    executor makes Spark run a shuffle's tasks again, theirs may count twice.
+    An empty input has zeros.
+    """
+    counts = Observation()
+    outcome = F.coalesce(F.col("reject_reason"), F.lit("kept"))
+    rows = classify(raw, on_bad).observe(counts, *[F.count_if(outcome == x).alias(x) for x in OUTCOMES])
+    return _usable(rows), counts
+
+
 def reject_counts(raw: DataFrame, on_bad: str = "reject") -> DataFrame:
     """Rows kept and dropped, by reason (P5)."""
     return (classify(raw, on_bad)

@@ -43,6 +43,11 @@ def test_clean_records_fixture(spark):
     assert r["longitude"] == pytest.approx(-3.7035, abs=1e-9) and r["latitude"] == pytest.approx(40.4169, abs=1e-9)
     counts = {r["outcome"]: r["rows"] for r in clean.reject_counts(df).collect()}
     assert counts == {"kept": 1, "missing coordinate": 1, "inactive": 2, "bad coordinate": 1}
+    kept, seen = clean.clean_observed(df)
+    assert kept.collect() == out
+    assert seen.get == counts | {"blank name": 0}
+    kept, seen = clean.clean_observed(df.where("false"))
+    assert kept.collect() == [] and set(seen.get.values()) == {0}
     with pytest.raises(Exception, match="not a number"):
         clean.clean_records(df, on_bad="fail").collect()
 
