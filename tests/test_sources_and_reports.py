@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from omphalos.operators import stats
 from omphalos.operators.stats import group_median
 from omphalos.plans import layers, reports
 from omphalos.sources import clean, io
@@ -52,6 +53,18 @@ def test_clean_records_fixture(spark):
         clean.clean_records(df, on_bad="fail").collect()
 
 
+@pytest.mark.parametrize("pick", ["max", "min"])
+def test_median_exact_whatever_the_sketch_says(spark, monkeypatch, pick):
+    """A sketch that always names an extreme value: brackets miss, selection by rounds still finds the middle."""
+    rng = np.random.default_rng(4)
+    groups = {"even": rng.normal(size=20), "odd": np.exp(rng.normal(0, 2, 21)), "ties": np.repeat([1.0, 2.0, 5.0], 30), "ends": np.array([-np.inf, -np.inf, 0.0, np.inf])}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in rng.permutation(vs)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    monkeypatch.setattr(stats.F, "percentile_approx", lambda c, ps, accuracy: F.array(*[getattr(F, pick)(c)] * len(ps)))
+    got = {r["g"]: r["median_v"] for r in group_median(df, "g", ["v"]).collect()}
+    assert got == {g: np.median(v) for g, v in groups.items()}
+
+
 def test_median_exact_even_odd(spark):
     rows = [("a", v) for v in (1.0, 2.0, 4.0, 8.0)] + [("b", v) for v in (5.0, 1.0, 3.0)] + [("c", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double")
