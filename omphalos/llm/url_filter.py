@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from omphalos.llm.common import Scratch, hot_lookup, let
+from omphalos.llm.common import Scratch, hot_lookup, let, union_all
 from omphalos.llm.components import connected_components
 
 
@@ -139,7 +139,10 @@ def filter_urls(pages: DataFrame, url: str = "url", html: str = "html", rules: t
     of redirects and canonical links holds a blocked page and no explicitly
     allowed one, and allow otherwise. Null urls and those without ``://`` have
     empty host and path, fit no rule and are allowed; null or empty HTML names no
-    address. Columns of those names are replaced; repeated rows stay.
+    address. Columns of those names are replaced, all others kept; repeated rows stay.
+    Pages that a rule decides or that have no address take no part in the join
+    with the blocked components, and an address of very many pages isn't
+    gathered in a task.
     """
     scratch = Scratch(pages.sparkSession, "url-filter")
     plain = pages.drop("host", "path", "rule", "verdict")
@@ -157,10 +160,35 @@ def filter_urls(pages: DataFrame, url: str = "url", html: str = "html", rules: t
     has = lambda v: F.bool_or(F.coalesce(F.col("own") == v, F.lit(False)))
     spread = judged.groupBy("component").agg(has("allow").alias("allowed"), has("block").alias("blocked"), F.count("*").alias("n"))
     spread = scratch.save(spread.where("blocked AND NOT allowed").select("component", "n"), "spread")
-    tainted = scratch.save(hot_lookup(parts, spread, "component", "n").select(F.col("address").alias("__address"), F.lit(True).alias("__tainted")), "tainted")
-    out = ruled.withColumn("__address", _address(F.col(url))).join(tainted, "__address", "left")
-    by_links = F.when(F.col("__tainted"), F.lit("block")).otherwise(F.lit("allow"))
-    return out.withColumn("verdict", F.coalesce("verdict", by_links)).drop("__address", "__tainted")
+    address, count, hit = _free(ruled.columns, "address", "count", "hit")
+    tainted = scratch.save(hot_lookup(parts, spread, "component", "n").select(F.col("address").alias(address), F.lit(True).alias(hit)), "tainted")
+    rows = ruled.withColumn(address, F.when(F.col("verdict").isNull(), _address(F.col(url))))
+    decided = rows.where(F.col(address).isNull())
+    asked = rows.where(F.col(address).isNotNull())
+    # addresses with more than a thousandth of the rows are at most a thousand
+    counts = scratch.save(asked.groupBy(address).agg(F.count("*").alias(count)), "counts")
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    hot = scratch.save(counts.where(F.col(count) > max(5_000, total // 1000)).select(address).join(tainted, address, "left"), "hot")
+    dealt = [asked.join(tainted, address, "left")]
+    if not hot.isEmpty():
+        dealt = [asked.join(F.broadcast(hot.select(address)), address, "left_anti").join(tainted, address, "left"), asked.join(F.broadcast(hot), address)]
+    found = union_all([decided.withColumn(hit, F.lit(None).cast("boolean")), *dealt])
+    by_links = F.when(F.col(hit), F.lit("block")).otherwise(F.lit("allow"))
+    return found.withColumn("verdict", F.coalesce("verdict", by_links)).select(*[F.col(_quoted(c)) for c in ruled.columns])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _free(taken: list[str], *names: str) -> list[str]:
+    """Each name, with as many underscores in front as no column of ``taken`` has."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name in used:
+            name = "_" + name
+        out.append(name)
+    return out
 
 
 def op8_url_filters(pages: DataFrame) -> DataFrame:

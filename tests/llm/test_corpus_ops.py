@@ -229,6 +229,22 @@ def test_url_edges_of_any_tag(spark, html, there):
     assert [tuple(r) for r in url_filter.url_edges(df).collect()] == ([("b.net/dir/page?a=1", there)] if there else [])
 
 
+def test_url_filters_with_hot_and_null_urls(spark):
+    """A url of very many pages, as many null urls, and columns with the names the join uses."""
+    link = '<link rel="canonical" href="http://a.de/de/x">'
+    rows = [(i, "http://hot.net/p", "", i, "x", "y") for i in range(6000)] + [(i, None, link, i, None, "y") for i in range(6000, 12000)]
+    rows += [(12000, "http://hot.net/p", link, 1, "x", "y"), (12001, "http://b.net/q", link, 1, "x", "y"), (12002, "http://c.net/q", "", 1, "x", "y"), (12003, "http://d.com/de/1", link, 1, "x", "y"), (12004, "no address", link, 1, "x", "y")]
+    rows += [(12005, "http://a.com/de/x", '<link rel="canonical" href="http://b.net/q">', 1, "x", "y"), (12006, "http://a.com/de/x", '<link rel="canonical" href="http://hot.net/p">', 1, "x", "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, `count` int, address string, __address string")
+    out = url_filter.filter_urls(df)
+    assert out.columns == ["page_id", "url", "html", "count", "address", "__address", "host", "path", "rule", "verdict"]
+    got = {r["page_id"]: r for r in out.collect()}
+    assert len(got) == len(rows) == out.count()
+    assert {got[i]["verdict"] for i in range(6000)} == {"block"} and {got[i]["verdict"] for i in range(6000, 12000)} == {"allow"}
+    assert [got[i]["verdict"] for i in range(12000, 12007)] == ["block", "block", "allow", "block", "allow", "block", "block"]
+    assert got[5]["address"] == "x" and got[7000]["address"] is None and got[5]["count"] == 5
+
+
 # ------------------------------------------------------------- suffix dedup (9)
 def plain_order(t):
     ends = [i for i, c in enumerate(t) if c == suffix_sort.SEPARATOR]
