@@ -24,13 +24,19 @@ Built-in metrics: branch and bound over a tree of cells, refined in rounds.
    U is renewed from the best candidates, and only the candidates are bounded
    again. Far cells stay coarse, and nothing else limits the depth.
 
-Any other distance that is a metric: batches of members get their exact S, and
-by the triangle inequality S(p) >= S(q) - n d(p, q) for every member q of a batch.
-A batch of about sqrt(n) members drawn from those left is taken in each round.
+Any other distance that is a metric: the same search, embedded by its own distances
+to ``2 * len(DIRECTIONS)`` members q at the edges of the group. By the triangle inequality the
+greatest of |d(p, q) - d(x, q)| never exceeds d(p, x), and it is a norm, so the bounds
+of cells hold as above. In step 4 the cells are split whose sum from some candidates
+differs from that of their mean. Rounds end where one leaves more than 7 of 8: the
+embedding may be looser than the metric, however fine the cells. Of what is left then,
+batches of members get their exact S, and S(p) >= S(q) - n d(p, q) for every member q
+of a batch. A batch of about sqrt(n) members drawn from those left is taken in each round.
 
 Sums over pairs of points and masses broadcast whichever side is below a counted
 bound, otherwise they join on (group, block of points, block of masses), so no task
-ever holds a whole group. Each location's row is written once; intermediate tables go
+ever holds a whole group. Each location's row is written once, and again where distances
+embed it; intermediate tables go
 under ``spark.checkpoint.dir`` so lineage stays short and a lost executor
 re-reads files instead of recomputing stages.
 """
@@ -61,8 +67,32 @@ MOST_TASKS = 20_000  # of one stage; beyond it tasks hold more pairs each
 #: Digits that totals are rounded to before ranking, by metric.
 TIE_DECIMALS = {"utm": 3, "haversine": 3, "euclidean": 9}
 
-E = ("e1", "e2", "e3")
-M = ("m1", "m2", "m3")
+NEAR = 4  # candidates a group that cells are split for under a metric that isn't built in
+
+#: Factors of x and y, as shares of the group's range; the members that are first and
+#: last along each are those whose distances embed a metric that isn't built in.
+DIRECTIONS = ((1.0, 1.0), (1.0, -1.0), (1.0, 0.0), (0.0, 1.0))
+
+
+class Space:
+    """The coordinates of an embedding (``e`` of a point, ``m`` of a cell's mean, ``q`` of a
+    candidate) and its norm: Euclidean, or the greatest coordinate."""
+
+    def __init__(self, size: int, greatest: bool):
+        self.e, self.m, self.q = ([f"{c}{i}" for i in range(1, size + 1)] for c in "emq")
+        self.greatest = greatest
+
+    def norm(self, parts: list[Column]) -> Column:
+        if self.greatest:
+            return F.greatest(*[F.abs(r) for r in parts])
+        return F.sqrt(sum((r * r for r in parts), F.lit(0.0)))
+
+    def apart(self, a: list[str], b: list[str]) -> Column:
+        return self.norm([F.col(i) - F.col(j) for i, j in zip(a, b)])
+
+
+BUILT_IN = Space(3, greatest=False)
+BY_DISTANCES = Space(2 * len(DIRECTIONS), greatest=True)
 
 
 def _embed(metric: Metric, x: Column, y: Column) -> list[Column]:
@@ -73,10 +103,6 @@ def _embed(metric: Metric, x: Column, y: Column) -> list[Column]:
     return [x, y, F.lit(0.0)]
 
 
-def _norm(a, b) -> Column:
-    return F.sqrt(sum(((F.col(i) - F.col(j)) * (F.col(i) - F.col(j)) for i, j in zip(a, b)), F.lit(0.0)))
-
-
 def _held(value: Column) -> Column:
     """``value`` as Catalyst can't move it: a filter or join on it isn't pushed below
     the projection that computes it, which would repeat its expression many times."""
@@ -155,7 +181,7 @@ class Pairs:
 
 
 def _locations(df: DataFrame, g: str, x_col: str, y_col: str, metric: Metric) -> DataFrame:
-    """Weighted locations ``(lid, g, x, y, w, e1..e3)``, written once.
+    """Weighted locations ``(lid, g, x, y, w)`` and under a built-in metric ``e1..e3``, written once.
 
     Validity is folded into the weight so no row filter is pushed into the
     projection that computed the coordinates.
@@ -166,10 +192,25 @@ def _locations(df: DataFrame, g: str, x_col: str, y_col: str, metric: Metric) ->
         .select(g, F.col(x_col).alias("x"), F.col(y_col).alias("y"), "w")
         .filter(F.col(g).isNotNull())
     )
-    embedded = zip(_embed(metric, F.col("x"), F.col("y")), E)
+    embedded = zip(_embed(metric, F.col("x"), F.col("y")), BUILT_IN.e) if metric is METRICS.get(metric.name) else ()
     return materialize(loc.select(F.monotonically_increasing_id().alias("lid"), "*", *[c.alias(n) for c, n in embedded]), "locations")
 
 
+def _embed_by_distances(loc: DataFrame, pairs: Pairs, metric: Metric, implementation: str) -> DataFrame:
+    """``loc`` with the distances to its group's outermost members as ``e1..``, written once."""
+    g = pairs.group
+    ends = materialize(loc.groupBy(g).agg(*[how(c).alias(f"{end}_{c}") for c in ("x", "y") for end, how in (("lo", F.min), ("hi", F.max))]), "ranges")
+    sx, sy = (F.coalesce(F.try_divide(F.col(c) - F.col(f"lo_{c}"), F.col(f"hi_{c}") - F.col(f"lo_{c}")), F.lit(0.0)) for c in ("x", "y"))
+    along = [F.lit(a) * sx + F.lit(b) * sy for a, b in DIRECTIONS]
+    outer = pairs.attach(loc, ends).groupBy(g).agg(
+        *[pick("lid", value).alias(e) for e, (pick, value) in zip(BY_DISTANCES.e, ((p, v) for v in along for p in (F.min_by, F.max_by)))])
+    outer = materialize(outer.select(g, F.explode(F.array(*[F.struct(F.lit(e).alias("e"), F.col(e).alias("lid")) for e in BY_DISTANCES.e])).alias("o")).select(g, "o.*"), "outer")
+    found = Small(outer.select("lid").distinct()).join(loc.select("lid", "x", "y"), "lid").join(outer, "lid")
+    place = materialize(found.groupBy(g).agg(*[F.max(F.when(F.col("e") == e, F.col(c))).alias(f"_{c}_{e}") for e in BY_DISTANCES.e for c in ("x", "y")]), "outermost")
+    far = [distance_column(metric, implementation, "x", "y", f"_x_{e}", f"_y_{e}").alias(e) for e in BY_DISTANCES.e]
+    return materialize(pairs.attach(loc, place).select(*loc.columns, *far), "embedded")
+
+
 def _top(df: DataFrame, g: str, order: list, k: int) -> DataFrame:
     w = Window.partitionBy(g).orderBy(*order)
     return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
@@ -178,8 +219,8 @@ def _top(df: DataFrame, g: str, order: list, k: int) -> DataFrame:
 class Cells:
     """The tree of cells over the locations: its leaves, and the cell of each location as a lazy column."""
 
-    def __init__(self, loc: DataFrame, pairs: Pairs, first_grid: int):
-        self.pairs, self.g = pairs, pairs.group
+    def __init__(self, loc: DataFrame, pairs: Pairs, first_grid: int, space: Space):
+        self.pairs, self.g, self.space = pairs, pairs.group, space
         probs = [i / QUANTILE_STEPS for i in range(1, QUANTILE_STEPS)]
         grid = Small(loc.groupBy(self.g).agg(
             F.count(F.lit(1)).alias("n_loc"),
@@ -193,6 +234,7 @@ class Cells:
         self._summarise()
 
     def _summarise(self) -> None:
+        E, M = self.space.e, self.space.m
         made = self.located.groupBy(self.g, "cell").agg(
             F.sum("w").alias("w"), F.count(F.lit(1)).alias("nl"), F.first("x").alias("sx"), F.first("y").alias("sy"),
             *[(F.sum(F.col("w") * F.col(e)) / F.sum("w")).alias(m) for e, m in zip(E, M)],
@@ -200,28 +242,41 @@ class Cells:
         )
         reach = [F.greatest(F.col(f"hi_{e}") - F.col(m), F.col(m) - F.col(f"lo_{e}")) for e, m in zip(E, M)]
         box = [f"{end}_{c}" for c in ("x", "y") for end in ("lo", "hi")]
-        radius = F.sqrt(sum((r * r for r in reach), F.lit(0.0))).alias("radius")
+        radius = self.space.norm(reach).alias("radius")
         self.leaves = materialize(made.select(self.g, "cell", "w", "nl", "sx", "sy", *M, radius, *box), "cells")
         self.number = self.leaves.count()
 
     def bound(self, points: DataFrame, n: int, keys: list[str]) -> DataFrame:
         """``keys`` and ``value``, the lower bound L at the embedding of each of (at most n) points."""
-        masses = self.leaves.select(self.g, F.col("w").alias("cw"), *M)
-        return self.pairs.fold(points, n, masses, self.number, keys, F.col("cw") * _norm(E, M))
+        masses = self.leaves.select(self.g, F.col("w").alias("cw"), *self.space.m)
+        return self.pairs.fold(points, n, masses, self.number, keys, F.col("cw") * self.space.apart(self.space.e, self.space.m))
 
     def narrow(self, cells: DataFrame) -> DataFrame:
         """``cells``, some of the leaves, as the side of a join on (group, cell)."""
         return F.broadcast(cells) if self.number <= self.pairs.broadcast_rows else cells.hint("merge")
 
-    def split(self, near: DataFrame) -> None:
-        """Split into 4 x 4 the cells that make up the error of bounds near the embedded points ``near(g, q1..q3)``.
+    def _rated(self, near: DataFrame) -> DataFrame:
+        """The leaves with the error ``_err`` that each makes in bounds at the embedded points ``near(g, q1..)``.
 
-        The error of a cell is of first order (its radius) close by and of second
-        order far away; cells with the group's mean error or more are split.
+        Under the Euclidean norm it is estimated: of first order (the radius) close by and
+        of second order far away. Under the greatest coordinate it is what the cell's sum
+        exceeds that of its mean by, nothing where one coordinate is the greatest for all of a cell.
         """
-        d = _norm(M, ("q1", "q2", "q3"))
-        error = F.col("w") * F.col("radius") * F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("radius"), 2.0 * d), F.lit(1.0)))
-        rated = self.pairs.attach(self.leaves, near).withColumn("_err", error)
+        e, m, q = self.space.e, self.space.m, self.space.q
+        if not self.space.greatest:
+            d = self.space.apart(m, q)
+            error = F.col("w") * F.col("radius") * F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("radius"), 2.0 * d), F.lit(1.0)))
+            return self.pairs.attach(self.leaves, near).withColumn("_err", error)
+
+        def sums(rows: DataFrame, at: list[str], out: str) -> DataFrame:
+            return self.pairs.attach(rows, near).groupBy(self.g, "cell").agg(F.sum(F.col("w") * self.space.apart(at, q)).alias(out))
+
+        error = sums(self.located, e, "_own").join(sums(self.leaves, m, "_mean"), [self.g, "cell"])
+        return materialize(self.leaves.join(error.select(self.g, "cell", (F.col("_own") - F.col("_mean")).alias("_err")), [self.g, "cell"]), "rated")
+
+    def split(self, near: DataFrame) -> None:
+        """Split into 4 x 4 the cells with the group's mean error or more in bounds at the embedded points ``near(g, q1..)``."""
+        rated = self._rated(near)
         mean = rated.groupBy(self.g).agg(F.avg("_err").alias("_mean"))
         parted = self.pairs.attach(rated, mean).where((F.col("nl") > 1) & (F.col("radius") > 0) & (F.col("_err") >= F.col("_mean")))
         parted = materialize(parted.select(self.g, "cell", "lo_x", "hi_x", "lo_y", "hi_y"), "split")
@@ -246,10 +301,10 @@ def _upper(pairs: Pairs, seeds: DataFrame, loc: DataFrame, locations: int, dist:
     return materialize(sums.groupBy(g).agg(F.min("value").alias("u")), "upper")
 
 
-def _by_cells(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit, first_grid: int, stats: dict) -> tuple[DataFrame, int]:
+def _by_cells(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit, first_grid: int, stats: dict, space: Space = BUILT_IN) -> tuple[DataFrame, int]:
     """Candidates ``(cid, g, cx, cy)`` by the bounds of the cells, and their number."""
-    g = pairs.group
-    cells = Cells(loc, pairs, first_grid)
+    g, E, M = pairs.group, space.e, space.m
+    cells = Cells(loc, pairs, first_grid, space)
     own = cells.leaves.select(g, "cell", "sx", "sy", "w", "radius", *[F.col(m).alias(e) for m, e in zip(M, E)])
     bounds = materialize(cells.bound(own.select(g, "cell", *E), cells.number, [g, "cell"]).join(own, [g, "cell"]), "cell-bounds")
     seeds = _top(bounds, g, [F.col("value"), F.col("cell")], SEEDS).select(g, F.col("sx").alias("cx"), F.col("sy").alias("cy"))
@@ -267,23 +322,28 @@ def _by_cells(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit,
     left, rounds = candidates.count(), 0
     while left > TARGET * pairs.groups and cells.number * 4 < locations:
         best = _top(candidates, g, [F.col("lb"), F.col("cid")], SEEDS)
-        near = _top(candidates, g, [F.col("lb"), F.col("cid")], 1).select(g, *[F.col(e).alias(f"q{i}") for i, e in enumerate(E, 1)])
+        near = _top(candidates, g, [F.col("lb"), F.col("cid")], 1)
+        if space.greatest:  # the best one, and others drawn by a hash
+            near = materialize(near.unionByName(_top(candidates, g, [F.xxhash64("cid"), F.col("cid")], NEAR - 1)), "near")
+        near = near.select(g, *[F.col(e).alias(q) for e, q in zip(E, space.q)])
         upper = upper.unionByName(_upper(pairs, best, loc, locations, dist)).groupBy(g).agg(F.min("u").alias("u"))
         cells.split(near)
-        fewer = bounded(candidates.drop("lb"), left, upper)
+        under = pairs.attach(candidates, upper).where(F.col("lb") <= limit(F.col("u")))
+        fewer = bounded(under.drop("lb", "u"), left, upper)
         discard(candidates)
-        candidates, left, rounds = fewer, fewer.count(), rounds + 1
+        before, candidates, left, rounds = left, fewer, fewer.count(), rounds + 1
+        if space.greatest and 8 * left > 7 * before:
+            break
     stats.update(cells=cells.number, candidates=left, rounds=rounds)
     return candidates.select("cid", g, "cx", "cy"), left
 
 
-def _by_triangle(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit, stats: dict) -> tuple[DataFrame, int]:
-    """Candidates ``(cid, g, cx, cy)`` of a metric without an embedding, by the triangle inequality alone, and their number."""
+def _by_triangle(points: DataFrame, left: int, loc: DataFrame, locations: int, pairs: Pairs, dist: Column, limit, stats: dict) -> tuple[DataFrame, int]:
+    """Those of the ``left`` candidates ``points(cid, g, cx, cy)`` that exact totals of some of them leave, and their number."""
     g = pairs.group
     weight = materialize(loc.groupBy(g).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("k")), "weights")
-    points = loc.select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy"))
     masses = loc.select(g, "x", "y", "w")
-    left, upper, rounds = locations, None, 0
+    upper, rounds = None, 0
     while left > TARGET * pairs.groups:
         # a batch of about sqrt(n) members of those left, drawn by a hash that differs between rounds
         share = points.groupBy(g).agg(F.count(F.lit(1)).alias("_left")).join(weight, g).select(
@@ -306,7 +366,7 @@ def _by_triangle(loc: DataFrame, locations: int, pairs: Pairs, dist: Column, lim
         points, halved, left = fewer, 2 * now <= left, now
         if not halved:
             break
-    stats.update(cells=0, candidates=left, rounds=rounds)
+    stats.update(candidates=left, rounds=stats.get("rounds", 0) + rounds)
     return points, left
 
 
@@ -356,12 +416,14 @@ def medoid_totals(
     def limit(u: Column) -> Column:
         return u * F.lit(1.0 + rel) + F.lit(SLACK_ABS + step)
 
+    cand, n = loc.select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")), locations
     if m is METRICS.get(m.name):
         cand, n = _by_cells(loc, locations, pairs, dist, limit, first_grid, stats)
     elif bound == "triangle":
-        cand, n = _by_triangle(loc, locations, pairs, dist, limit, stats)
-    else:
-        cand, n = loc.select(F.col("lid").alias("cid"), g, F.col("x").alias("cx"), F.col("y").alias("cy")), locations
+        if locations > TARGET * pairs.groups:
+            embedded = _embed_by_distances(loc, pairs, m, implementation)
+            cand, n = _by_cells(embedded, locations, pairs, dist, limit, first_grid, stats, BY_DISTANCES)
+            cand, n = _by_triangle(cand, n, loc, locations, pairs, dist, limit, stats)
     stats.update(broadcast_rows=broadcast_rows, locations=locations)
     totals = pairs.fold(cand, n, loc.select(g, "x", "y", "w"), locations, ["cid", g, "cx", "cy"], F.col("w") * dist)
     return totals.select(g, F.col("cx").alias(x_col), F.col("cy").alias(y_col), F.col("value").alias("total_distance"))

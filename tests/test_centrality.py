@@ -194,6 +194,23 @@ def test_medoid_of_any_metric(spark, monkeypatch, name, implementation):
     assert picks(got) == _all_pairs(rows, plain[name])
 
 
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_distances_to_outer_members_leave_few_candidates_of_any_metric(spark, monkeypatch, limit):
+    """Cells bound a distance that isn't built in."""
+    from omphalos.operators import medoid as module
+
+    monkeypatch.setattr(module, "TARGET", 4)
+    rng = np.random.default_rng(12)
+    rows = [(f"p{i:04}", "a" if i % 3 else "b", float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-50, 50, (3000, 2)))]
+    rows += [(f"copy{k}", "a", rows[7][2], rows[7][3]) for k in range(5)] + [("alone", "c", 1.0, 2.0)]
+    stats = {}
+    sides = lambda a, b, c, d: F.abs(a - c) + F.abs(b - d)
+    got = medoid(fixture(spark, rows), "g", "center_id", "x", "y", sides, tie_decimals=6, stats=stats,
+                 broadcast_rows=limit, pairs_per_task=100_000)
+    assert picks(got) == _all_pairs(rows, lambda a, b, c, d: np.abs(a - c) + np.abs(b - d))
+    assert stats["cells"] > 0 and stats["rounds"] >= 1 and stats["candidates"] < 60
+
+
 def test_a_distance_that_is_no_metric_is_summed_for_all(spark):
     square = lambda a, b, c, d: (a - c) * (a - c) + (b - d) * (b - d)
     rng = np.random.default_rng(3)
