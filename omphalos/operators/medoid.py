@@ -47,6 +47,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from ..functions.metrics import EARTH_RADIUS_M, METRICS, Metric, get_metric
 from ..functions.udfs import distance_column
@@ -62,6 +63,7 @@ FIRST_GRID = 32  # cells per axis of the first grid at most; rounds split on wit
 GRID_SCALE = 2.0  # cells per axis ~ GRID_SCALE * n^(1/4)
 TARGET = 32  # candidates a group that are summed exactly without another round
 SEEDS = 3  # members a group that give the upper bound of a round
+FEW_IDS = 1_000  # picked ids that rows are filtered by before the pick-back join
 MOST_TASKS = 20_000  # of one stage; beyond it tasks hold more pairs each
 
 #: Digits that totals are rounded to before ranking, by metric.
@@ -429,6 +431,18 @@ def medoid_totals(
     return totals.select(g, F.col("cx").alias(x_col), F.col("cy").alias(y_col), F.col("value").alias("total_distance"))
 
 
+def _with_ids(df: DataFrame, id_col: str, picks: Small) -> DataFrame:
+    """``df``, without most rows that a join with ``picks`` on the id drops, if the ids are few.
+
+    Unlike the join, a filter by values is pushed below the projection of ``df``,
+    which then is evaluated for rows with these ids only.
+    """
+    if not picks.local or not isinstance(df.schema[id_col].dataType, (StringType, IntegralType)):
+        return df
+    ids = [r[0] for r in picks.df.select(id_col).distinct().limit(FEW_IDS + 1).collect()]
+    return df.where(F.col(id_col).isin(ids)) if len(ids) <= FEW_IDS else df
+
+
 def medoid(
     df: DataFrame,
     group_col: str,
@@ -480,6 +494,7 @@ def medoid(
         own = won.join(first, group_col).where(F.col(id_col).eqNullSafe(F.col("_first"))).drop("_first")
         won = _top(own, group_col, ["_bx", "_by"], 1)
     close = lambda c, b: F.abs(F.col(c) - F.col(b)) <= 1e-9 * (1.0 + F.abs(F.col(b)))
-    picked = Small(won).join(df, [group_col, id_col]).where(close(x_col, "_bx") & close(y_col, "_by")).drop("_bx", "_by")
+    picks = Small(won)
+    picked = picks.join(_with_ids(df, id_col, picks), [group_col, id_col]).where(close(x_col, "_bx") & close(y_col, "_by")).drop("_bx", "_by")
     rest = [c for c in df.columns if c not in (group_col, id_col)]
     return picked.select(group_col, id_col, *rest, "total_distance")

@@ -269,6 +269,20 @@ def test_medoid_pick_survives_coordinates_that_are_evaluated_again(spark):
     assert sorted(r["g"] for r in got) == ["g0", "g1", "g2"]
 
 
+def test_medoid_evaluates_other_columns_for_picked_rows_only(spark):
+    rows = [(f"p{i}", f"g{i % 2}", float(i % 7), float(i % 5)) for i in range(400)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def label(i):
+        seen.add(1)
+        return "row " + i
+
+    df = fixture(spark, rows).withColumn("label", F.udf(label, "string")("center_id"))
+    got = medoid(df, "g", "center_id", "x", "y", "utm").collect()
+    assert sorted(r["label"] for r in got) == sorted("row " + i for g in _brute(rows, "utm").values() for i in g[0])
+    assert seen.value == len(got) < len(rows)
+
+
 def test_infinite_coordinates_take_no_part(spark):
     rows = [("a", "g", 1.0, 1.0), ("b", "g", 2.0, 2.0), ("c", "g", 3.0, 3.0), ("z", "g", float("inf"), 1.0), ("y", "g", 1.0, float("-inf"))]
     df = fixture(spark, rows)
