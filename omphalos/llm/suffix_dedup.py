@@ -426,7 +426,9 @@ def _runs(scratch: Scratch, texts: DataFrame, sizes: tuple[int, ...]) -> DataFra
     inner = seen.where("body IS NOT NULL").select(F.monotonically_increasing_id().alias("piece"), "row", "start", "doc", "body")
     inner = scratch.save(inner, "pieces")
     deeper = _runs(scratch, inner.select(F.col("piece").alias("row"), F.col("doc").alias("doc_id"), F.col("body").alias("text")), sizes[1:])
-    found = deeper.select(F.col("row").alias("piece"), F.col("start").alias("a"), F.col("end").alias("b")).join(inner.select("piece", "row", "start"), "piece")
+    found = deeper.select(F.col("row").alias("piece"), F.col("start").alias("a"), F.col("end").alias("b"))
+    # both sides grow with the data and compress well, so by the files' sizes either would be taken for one to broadcast
+    found = found.join(inner.select("piece", "row", "start").hint("merge"), "piece")
     return union_all([runs, scratch.save(found.select("row", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end")), "inner")])
 
 

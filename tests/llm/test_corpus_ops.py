@@ -357,6 +357,26 @@ def test_suffix_dedup_splits_a_hot_anchor(spark, most, monkeypatch):
     assert counted(got) == counted(plain_repeats(rows))
 
 
+def test_suffix_dedup_broadcasts_no_table_of_the_datas_size(spark, monkeypatch):
+    """What the pieces of hot anchors have in common grows with the input, so it meets their rows without the driver."""
+    plans, save = [], suffix_dedup.Scratch.save
+
+    def seen(self, df, name):
+        plans.append((name, df._jdf.queryExecution().toString()))
+        return save(self, df, name)
+
+    monkeypatch.setattr(suffix_dedup, "HOT", 4)
+    monkeypatch.setattr(suffix_dedup.Scratch, "save", seen)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    tails = [word(40) for _ in range(4)]
+    rows = [(i, word(60) + "Licensed, with NO warranty, to 2024" + rng.choice(tails)) for i in range(60)]
+    out = suffix_dedup.op9_suffix_dedup(table(spark, rows))
+    assert counted(out.collect()) == counted(plain_repeats(rows))
+    assert "inner" in [name for name, _ in plans]
+    assert not [name for name, plan in [*plans, ("result", out._jdf.queryExecution().toString())] if "Broadcast" in plan]
+
+
 def test_suffix_dedup_of_an_empty_table(spark):
     assert suffix_dedup.op9_suffix_dedup(table(spark, [])).collect() == []
 
